@@ -19,8 +19,8 @@ LANGUAGE_GROUPS = {
 
 # The characters ECMAScript's String.trim removes.
 BLANKS = (
-    "\t\n\x0b\x0c\r           "
-    "       　﻿"
+    "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004"
+    "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
 # Cell contents that pandas reads as missing in a CSV file.

@@ -13,6 +13,30 @@ HOT_SHARE = 10_000
 HOT_ROWS = 1_000_000
 
 
+def hot_keys(
+    facts: DataFrame,
+    key: str | Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    hot_share: int = HOT_SHARE,
+) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows and their row count ``n``, if any.
+
+    At most ``hot_share`` keys are returned: in a large table the limit on rows is
+    raised to the share of the table that only so many keys can exceed. The counts
+    are combined before the shuffle, so a hot key costs a row per task.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    total = facts.count()
+    if total <= hot_rows:
+        return None
+    floor = max(hot_rows, total // hot_share)
+    counted = facts.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > floor)
+    found = counted.collect()
+    if not found:
+        return None
+    return facts.sparkSession.createDataFrame(found, counted.schema)
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -24,23 +48,15 @@ def lookup_join(
     """Join many ``facts`` per key to the one ``lookup`` row per key.
 
     Facts of a hot key stay where they are and meet their lookup row by broadcast;
-    all other facts are shuffled. No key sends more than ``hot_rows`` rows, or the
-    1/``hot_share`` part of the table if that is more, to one task.
+    all other facts are shuffled.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    total = facts.count()
-    if total <= hot_rows:
-        return facts.join(lookup, keys, how)
-    floor = max(hot_rows, total // hot_share)
-    counted = facts.groupBy(*keys).agg(F.count("*").alias("__n"))
-    hot = counted.filter(F.col("__n") > floor).select(*keys).collect()
-    if not hot:
+    hot = hot_keys(facts, keys, hot_rows, hot_share)
+    if hot is None:
         return facts.join(lookup, keys, how)
-    hot_keys = facts.sparkSession.createDataFrame(hot, facts.select(*keys).schema)
-    marked = facts.join(
-        F.broadcast(hot_keys.withColumn("__hot", F.lit(True))), keys, "left"
-    )
-    hot_lookup = lookup.join(F.broadcast(hot_keys), keys, "left_semi")
+    hot = hot.select(*keys)
+    marked = facts.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+    hot_lookup = lookup.join(F.broadcast(hot), keys, "left_semi")
     at_rest = (
         marked.filter(F.col("__hot")).drop("__hot").join(F.broadcast(hot_lookup), keys, how)
     )

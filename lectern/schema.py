@@ -11,8 +11,7 @@ def _strings(*names: str) -> list[T.StructField]:
 
 COURSE = T.StructType(
     _strings("_id", "title", "description", "category", "skills", "level")
-    + [T.StructField("original_url", T.StringType(), False)]
-    + _strings("source_repository", "language")
+    + _strings("original_url", "source_repository", "language")
     + [
         T.StructField("last_updated", T.TimestampType()),
         T.StructField("cluster", T.IntegerType()),

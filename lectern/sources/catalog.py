@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.schema import COURSE
@@ -58,10 +59,11 @@ class CatalogStore:
         versions = self.versions()
         number = versions[-1][0] + 1 if versions else 0
         name = f"v={number:08d}" + (f"-{tag}" if tag else "")
-        columns = [c for c in self.schema.names if c in table.columns]
-        missing = [f for f in self.schema if f.name not in table.columns]
-        table = table.select(*columns).to(
-            T.StructType([f for f in self.schema if f not in missing])
-        )
-        table.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        fields = [
+            (F.col(f.name) if f.name in table.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in self.schema
+        ]
+        table.select(*fields).write.mode("overwrite").parquet(f"{self.root}/{name}")
         return number
