@@ -16,7 +16,7 @@ from lectern.functions.vocabulary import CSV_MISSING
 from lectern.operators.merge import SEQUENCE
 from lectern.schema import COURSERA_PAGE, EDX_COLUMNS
 
-EDX_FILES = "*[eE][dD][xX]*.csv"
+EDX_FILES = "*[eE][dD][xX]*.csv"  # file names, not folders
 CSV_OPTIONS = {
     "header": "true",
     "multiLine": "true",
@@ -27,15 +27,23 @@ CSV_OPTIONS = {
 }
 
 
+FILE = "__file"
+
+
+def with_file(raw: DataFrame) -> DataFrame:
+    """Keep the file each row was read from."""
+    return raw.select("*", F.col("_metadata.file_path").alias(FILE))
+
+
 def _position() -> Column:
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+    return F.struct(F.col(FILE), F.monotonically_increasing_id().alias("row"))
 
 
 def edx_records(raw: DataFrame) -> DataFrame:
-    """Cells by header name; a missing cell or column is an empty text."""
+    """Cells by header name; a missing cell or column is an empty text.
+
+    ``raw`` comes from :func:`with_file`, as it does for :func:`coursera_records`.
+    """
     present = set(raw.columns)
     cells = []
     for name in EDX_COLUMNS:
@@ -48,7 +56,7 @@ def edx_records(raw: DataFrame) -> DataFrame:
 def read_edx_csv(spark: SparkSession, folder: str, pattern: str = EDX_FILES) -> DataFrame:
     """All CSV files of ``folder`` whose name contains ``edx``, columns by header."""
     raw = spark.read.options(**CSV_OPTIONS, pathGlobFilter=pattern).csv(folder)
-    return edx_records(raw)
+    return edx_records(with_file(raw))
 
 
 def coursera_records(pages: DataFrame) -> DataFrame:
@@ -68,7 +76,7 @@ def read_coursera_pages(
         .options(multiLine=str(multi_line).lower(), mode="FAILFAST")
         .json(folder)
     )
-    return coursera_records(pages)
+    return coursera_records(with_file(pages))
 
 
 def unified_edx(records: DataFrame, as_of: datetime.datetime) -> DataFrame:

@@ -13,19 +13,24 @@ from lectern.sources.catalog import CatalogStore
 
 
 def _feed_stream(
-    spark: SparkSession, source: str, folder: str, files_per_batch: int | None
-) -> tuple[DataFrame, object]:
-    options = {"maxFilesPerTrigger": str(files_per_batch)} if files_per_batch else {}
+    spark: SparkSession, source: str, folder: str, files_per_batch: int | None, pattern: str | None
+) -> DataFrame:
+    options = {"mode": "FAILFAST"}
+    if files_per_batch:
+        options["maxFilesPerTrigger"] = str(files_per_batch)
     if source == "edx":
-        options |= feeds.CSV_OPTIONS | {"pathGlobFilter": feeds.EDX_FILES}
+        options |= feeds.CSV_OPTIONS | {"pathGlobFilter": pattern or feeds.EDX_FILES}
         header = spark.read.options(**options).csv(folder).schema
-        raw = spark.readStream.schema(header).options(**options).csv(folder)
-        return feeds.edx_records(raw), feeds.unified_edx
-    if source == "coursera":
-        options |= {"mode": "FAILFAST"}
-        raw = spark.readStream.schema(COURSERA_PAGE).options(**options).json(folder)
-        return feeds.coursera_records(raw), feeds.unified_coursera
-    raise ValueError(f"unknown source {source!r}")
+        return spark.readStream.schema(header).options(**options).csv(folder)
+    if pattern:
+        options["pathGlobFilter"] = pattern
+    return spark.readStream.schema(COURSERA_PAGE).options(**options).json(folder)
+
+
+FEEDS = {
+    "edx": (feeds.edx_records, feeds.unified_edx),
+    "coursera": (feeds.coursera_records, feeds.unified_coursera),
+}
 
 
 def sync_available_now(
@@ -36,6 +41,7 @@ def sync_available_now(
     checkpoint: str,
     as_of: datetime.datetime,
     files_per_batch: int | None = None,
+    pattern: str | None = None,
 ) -> None:
     """Merge all new files of ``folder`` into ``store``, then stop.
 
@@ -44,17 +50,20 @@ def sync_available_now(
     is left out, so every file counts once.
     """
     source = source.lower()
-    records, unify = _feed_stream(spark, source, folder, files_per_batch)
+    if source not in FEEDS:
+        raise ValueError(f"unknown source {source!r}: use one of {sorted(FEEDS)}")
+    records, unify = FEEDS[source]
+    raw = feeds.with_file(_feed_stream(spark, source, folder, files_per_batch, pattern))
 
     def apply(batch: DataFrame, number: int) -> None:
         tag = f"{source}-{number}"
         if store.has(tag):
             return
-        last = last_per_key(accepted(unify(batch, as_of)), "original_url")
+        last = last_per_key(accepted(unify(records(batch), as_of)), "original_url")
         store.write(merge_upsert(store.read(), last.drop(SEQUENCE)), tag)
 
     query = (
-        records.writeStream.foreachBatch(apply)
+        raw.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
