@@ -35,7 +35,7 @@ from lectern.sources.catalog import CatalogStore
 from lectern.streaming.sync import sync_available_now
 
 AS_OF = datetime.datetime(2024, 1, 1)
-COURSE_ID = "17"
+COURSE_ID = "104"
 USER_ID = 7
 SEARCH = "the"
 CATALOG_COLUMNS = (
@@ -55,10 +55,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 _stored: dict[tuple[str, str], DataFrame] = {}
 
 
-def _similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored neighbour table that lookups and suggestions read; built once."""
+def _similarity(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> DataFrame:
+    """The stored neighbour table that lookups and suggestions read."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
+    if rebuild or key not in _stored:
         _stored[key] = stage(find_similar(V.courses(spark, sf_dir)), "similarity")
     return _stored[key]
 
@@ -232,7 +232,7 @@ def similar_pairs_exact(spark, sf_dir):
 
 
 def top5_similar(spark, sf_dir):
-    near = neighbours(find_similar(V.courses(spark, sf_dir)))
+    near = neighbours(_similarity(spark, sf_dir, rebuild=True))
     return near.withColumn("score", F.round("score", 6))
 
 

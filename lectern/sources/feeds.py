@@ -31,8 +31,9 @@ FILE = "__file"
 
 
 def with_file(raw: DataFrame) -> DataFrame:
-    """Keep the file each row was read from."""
-    return raw.select("*", F.col("_metadata.file_path").alias(FILE))
+    """Keep when the file of each row was saved, and its path."""
+    saved = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return raw.select("*", saved.alias(FILE))
 
 
 def _position() -> Column:

@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.operators.facets import category_facet, language_facet
+from lectern.operators.filters import CourseFilter, apply_filter, with_filter_columns
+from lectern.operators.paging import clamp_page, page_count, page_of
+from lectern.plans.listing import course_by_id, facets, list_courses
+
+ROWS = [
+    ("1", "C++ basics", "Math", "Beginner", "en", "edX"),
+    ("2", "Advanced c++", "math", "Introductory level", " EN ", "Coursera"),
+    ("3", "Cooking", "Art (fine)", "Advanced", "fr", "edX"),
+    ("4", None, None, None, None, None),
+    ("5", "Français", "art (FINE)", "Intermediate", "Français", "Coursera"),
+    ("6", "", " ", "", "Klingon", ""),
+]
+
+
+@pytest.fixture(scope="module")
+def courses(spark):
+    names = ("_id", "title", "category", "level", "language", "source_repository")
+    return spark.createDataFrame(ROWS, ", ".join(f"{n} string" for n in names))
+
+
+@pytest.mark.parametrize("stored", [False, True])
+@pytest.mark.parametrize(
+    "wanted, ids",
+    [
+        ({}, "123456"),
+        ({"category": "All", "language": "", "level": None}, "123456"),
+        ({"category": "MATH"}, "12"),
+        ({"category": "art (fine)"}, "35"),
+        ({"category": "art .*"}, ""),
+        ({"language": "English"}, "12"),
+        ({"language": "French"}, "35"),
+        ({"language": "klingon"}, "6"),
+        ({"language": "Other"}, ""),
+        ({"level": "Beginner"}, "12"),
+        ({"level": "inter"}, "5"),
+        ({"level": "advanced|inter"}, ""),
+        ({"level": "advanced|inter", "regex": True}, "35"),
+        ({"source_repository": "cours"}, "25"),
+        ({"search": "C++"}, "12"),
+        ({"search": "All"}, ""),
+        ({"search": "c++", "level": "Beginner", "source_repository": "edx"}, "1"),
+    ],
+)
+def test_filters(courses, wanted, ids, stored):
+    table = with_filter_columns(courses) if stored else courses
+    found = apply_filter(table, CourseFilter(**wanted)).select("_id").collect()
+    assert sorted(r._id for r in found) == list(ids)
+
+
+def test_stored_filter_columns_are_pushed_to_the_scan(spark, courses, tmp_path, capsys):
+    with_filter_columns(courses).write.parquet(str(tmp_path / "c"))
+    table = spark.read.parquet(str(tmp_path / "c"))
+    found = apply_filter(table, CourseFilter(category="Math", language="English"))
+    found.select("_id").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(category_key,math)" in plan
+    assert "EqualTo(language_group,English)" in plan
+    assert "ReadSchema: struct<_id:string,category_key:string,language_group:string>" in plan
+
+
+@pytest.mark.parametrize(
+    "page, limit, ids",
+    [
+        (1, 2, "12"), (2, 2, "34"), ("2x", "2", "34"), (0, 0, "123456"), ("abc", None, "123456"),
+        (9, 2, ""), (2, 4, "56"),
+    ],
+)
+def test_pages(courses, page, limit, ids):
+    assert [r._id for r in page_of(courses, page, limit).collect()] == list(ids)
+
+
+def test_negative_page_is_refused(courses):
+    with pytest.raises(ValueError):
+        page_of(courses, -1)
+
+
+def test_keyset_pages_equal_offset_pages(courses):
+    by_key = page_of(courses, limit=2, after="2").collect()
+    assert by_key == page_of(courses, 2, 2).collect()
+
+
+def test_listing_counts_the_whole_result(courses):
+    listing = list_courses(courses, level="Beginner", limit=1)
+    assert (listing.count(), listing.total.first().total) == (1, 2)
+    assert list_courses(courses, search="zzz").total.first().total == 0
+
+
+def test_lookup(courses):
+    assert course_by_id(courses, "3").first().title == "Cooking"
+    assert course_by_id(courses, "x").count() == 0
+
+
+def test_page_numbers(column):
+    total = F.lit(37)
+    pages = page_count(total)
+    got = column(["3", "0", "-2", "x", "99", "2b", None], clamp_page(F.col("v"), pages))
+    assert got == [3, 1, 1, 1, 3, 2, 1]
+    assert column(["1"], clamp_page(F.col("v"), page_count(F.lit(0)))) == [0]
+
+
+def test_category_facet_cuts_before_it_drops_blanks(spark):
+    rows = [(f"c{i:02d}",) for i in range(40)] + [(None,)] * 3 + [(" ",)] * 2 + [("z",)] * 2
+    got = [r.category for r in category_facet(spark.createDataFrame(rows, "category string")).collect()]
+    assert got == [f"c{i:02d}" for i in range(27)] + ["z"]
+
+
+def test_facets_keep_spelling_of_categories_but_name_languages(courses):
+    found = facets(courses)
+    assert [r.category for r in found.categories.collect()] == [
+        "Art (fine)", "Math", "art (FINE)", "math",
+    ]
+    assert [r.language for r in found.languages.collect()] == ["English", "French", "Klingon"]
+    assert language_facet(courses.filter("false")).count() == 0
