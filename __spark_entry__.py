@@ -17,13 +17,15 @@ from lectern.functions.text import highlight
 from lectern.functions.vocabulary import LANGUAGE_GROUPS, STOP_WORDS
 from lectern.operators import facets, merge
 from lectern.operators.cluster import cluster_courses, with_cluster_text
-from lectern.operators.features import text_groups, weighted_terms
+from lectern.operators.features import postings_of, text_groups, weighted_terms
+from lectern.operators.filters import CourseFilter, apply_filter
 from lectern.operators.paging import clamp_page, page_count
 from lectern.plans.cards import course_cards, course_details
 from lectern.plans.harvest import harvest, read_source
 from lectern.plans.listing import course_by_id, list_courses
 from lectern.plans.similar import (
     find_similar,
+    lsh_recall,
     neighbours,
     similar_courses,
     similar_text_pairs,
@@ -31,6 +33,7 @@ from lectern.plans.similar import (
 from lectern.plans.suggest import suggest_for_all, suggest_for_likes
 from lectern.schema import COURSE
 from lectern.scratch import scratch_path, stage
+from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
 from lectern.streaming.sync import sync_available_now
 
@@ -114,10 +117,8 @@ def list_total(spark, sf_dir):
     ).total
 
 
-def _ids(**wanted) -> Query:
+def _ids(**wanted: str) -> Query:
     def run(spark, sf_dir):
-        from lectern.operators.filters import CourseFilter, apply_filter
-
         return apply_filter(V.courses(spark, sf_dir), CourseFilter(**wanted)).select("_id")
 
     return run
@@ -158,8 +159,6 @@ def facet_languages(spark, sf_dir):
 def ingest_edx(spark, sf_dir):
     folder = V.written_edx_feed(spark, sf_dir)
     # Spark chooses the names of the files it writes, so all CSV files are read here.
-    from lectern.sources import feeds
-
     raw = feeds.read_edx_csv(spark, folder, "*.csv")
     batch = merge.last_per_key(
         merge.accepted(feeds.unified_edx(raw, AS_OF)), "original_url"
@@ -175,8 +174,6 @@ def ingest_coursera(spark, sf_dir):
 
 
 def _unified_feeds(spark, sf_dir):
-    from lectern.sources import feeds
-
     edx = V.edx_feed(spark, sf_dir).fillna("").withColumn(merge.SEQUENCE, F.lit(0))
     coursera = V.coursera_feed(spark, sf_dir).select(
         "row.*", F.col("page_id").alias(merge.SEQUENCE)
@@ -219,7 +216,7 @@ def term_weights(spark, sf_dir):
     groups = text_groups(V.courses(spark, sf_dir), "description", 1).groups
     words = weighted_terms(groups)
     return (
-        words.postings.select("g", "tid", "w")
+        postings_of(words.vectors).select("g", "tid", "w")
         .join(words.terms, "tid")
         .join(groups.select("g", F.col("ids")[0].alias("_id")), "g")
         .select("_id", "term", "df", F.round("w", 6).alias("weight"))
@@ -263,6 +260,10 @@ def top5_similar_lsh(spark, sf_dir):
     return near.withColumn("score", F.round("score", 6))
 
 
+def lsh_recall_of_pairs(spark, sf_dir):
+    return lsh_recall(V.courses(spark, sf_dir))
+
+
 def clean_cluster_text(spark, sf_dir):
     return with_cluster_text(V.courses(spark, sf_dir)).select("_id", "clustering_text_cleaned")
 
@@ -317,6 +318,7 @@ def queries() -> dict[str, Query]:
         "suggestions_all": suggestions_all,
         "similar_pairs_lsh": similar_pairs_lsh,
         "top5_similar_lsh": top5_similar_lsh,
+        "lsh_recall": lsh_recall_of_pairs,
         "clean_cluster_text": clean_cluster_text,
         "cluster_courses": clusters,
         "sync_available_now": sync_incremental,

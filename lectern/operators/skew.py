@@ -18,19 +18,24 @@ def hot_keys(
     key: str | Sequence[str],
     hot_rows: int = HOT_ROWS,
     hot_share: int = HOT_SHARE,
+    counted: DataFrame | None = None,
 ) -> DataFrame | None:
     """The keys with more than ``hot_rows`` rows and their row count ``n``, if any.
 
     At most ``hot_share`` keys are returned: in a large table the limit on rows is
     raised to the share of the table that only so many keys can exceed. The counts
-    are combined before the shuffle, so a hot key costs a row per task.
+    are combined before the shuffle, so a hot key costs a row per task. Where the rows
+    per key are known already, they are passed as ``counted`` (key, ``n``).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    total = facts.count()
+    if counted is None:
+        total = facts.count()
+        counted = facts.groupBy(*keys).agg(F.count("*").alias("n"))
+    else:
+        total = counted.agg(F.sum("n")).first()[0] or 0
     if total <= hot_rows:
         return None
-    floor = max(hot_rows, total // hot_share)
-    counted = facts.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > floor)
+    counted = counted.filter(F.col("n") > max(hot_rows, total // hot_share))
     found = counted.collect()
     if not found:
         return None
@@ -44,6 +49,7 @@ def lookup_join(
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
     hot_share: int = HOT_SHARE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join many ``facts`` per key to the one ``lookup`` row per key.
 
@@ -51,7 +57,7 @@ def lookup_join(
     all other facts are shuffled.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    hot = hot_keys(facts, keys, hot_rows, hot_share)
+    hot = hot_keys(facts, keys, hot_rows, hot_share, counted)
     if hot is None:
         return facts.join(lookup, keys, how)
     hot = hot.select(*keys)

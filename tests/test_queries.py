@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"similar_pairs_lsh", "top5_similar_lsh", "cluster_courses"}
+SLOW = {"lsh_recall", "similar_pairs_lsh", "top5_similar_lsh", "cluster_courses"}
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test tables")
 
