@@ -205,7 +205,7 @@ def dedupe_last_wins(spark, sf_dir):
 
 
 def merge_upsert(spark, sf_dir):
-    stored = V.courses(spark, sf_dir).withColumn("cluster", F.length("title"))
+    stored = V.courses(spark, sf_dir, skills=True).withColumn("cluster", F.length("title"))
     merged = merge.merge_upsert(
         stored, V.updates(spark, sf_dir).withColumn("cluster", F.lit(None).cast("int"))
     )
@@ -265,17 +265,17 @@ def lsh_recall_of_pairs(spark, sf_dir):
 
 
 def clean_cluster_text(spark, sf_dir):
-    return with_cluster_text(V.courses(spark, sf_dir)).select("_id", "clustering_text_cleaned")
+    return with_cluster_text(V.courses(spark, sf_dir, skills=True)).select("_id", "clustering_text_cleaned")
 
 
 def clusters(spark, sf_dir):
-    return cluster_courses(V.courses(spark, sf_dir)).select("_id", "cluster")
+    return cluster_courses(V.courses(spark, sf_dir, skills=True)).select("_id", "cluster")
 
 
 def sync_incremental(spark, sf_dir):
     folder = V.written_coursera_feed(spark, sf_dir, files=2)
     store = CatalogStore(spark, scratch_path(spark, "catalog"))
-    store.write(V.courses(spark, sf_dir))
+    store.write(V.courses(spark, sf_dir, skills=True))
     sync_available_now(
         spark, "coursera", folder, store, scratch_path(spark, "sync"), AS_OF, 1
     )

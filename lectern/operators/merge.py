@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.filters import has_required_fields
 
+# A batch is broadcast when it stays within both limits.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 SEQUENCE = "__seq"
 
 
@@ -50,12 +53,21 @@ def course_id(url: Column) -> Column:
     return F.sha2(url, 256)
 
 
+def is_small(batch: DataFrame, rows: int, size: int) -> bool:
+    """Whether ``batch`` has at most so many rows and bytes (of its cells as text)."""
+    cells = (F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in batch.columns)
+    width = reduce(Column.__add__, cells).cast("long")
+    found = batch.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+    return found.n <= rows and (found.bytes or 0) <= size
+
+
 def merge_upsert(
     existing: DataFrame,
     incoming: DataFrame,
     key: str | Sequence[str] = "original_url",
     preserve: Sequence[str] = ("cluster",),
     broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``existing`` with the fields that ``incoming`` supplies set, new keys added.
 
@@ -64,8 +76,8 @@ def merge_upsert(
     * both sides hold a key at most once (see :func:`last_per_key`);
     * a stored ``_id`` never changes, a new row gets one derived from its URL.
 
-    A batch of up to ``broadcast_rows`` rows is broadcast, so the stored table is not
-    shuffled; a larger one is merged by one full outer join.
+    A batch whose rows and bytes are counted and found small is broadcast, so the
+    stored table is not shuffled; a larger one is merged by one full outer join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     supplied = [c for c in incoming.columns if c not in keys]
@@ -91,8 +103,7 @@ def merge_upsert(
                                                 else merged("original_url", known)))
         return value.cast(types[name]).alias(name)
 
-    small = incoming.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if not small:
+    if not is_small(incoming, broadcast_rows, broadcast_bytes):
         known = F.coalesce(F.col("__old"), F.lit(False))
         both = existing.withColumn("__old", F.lit(True)).join(batch, keys, "full_outer")
         return both.select(*(merged(c, known) for c in columns))

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.operators.merge import SEQUENCE, accepted, last_per_key, merge_upsert
+from lectern.scratch import stage
 from lectern.sources import feeds
 
 SOURCES = {
@@ -35,6 +36,11 @@ def harvest(
     as_of: datetime.datetime,
     preserve: Sequence[str] = ("cluster",),
 ) -> DataFrame:
-    """``catalog`` after this feed was merged into it."""
-    batch = last_per_key(read_source(spark, source, folder, as_of), "original_url")
-    return merge_upsert(catalog, batch.drop(SEQUENCE), "original_url", preserve)
+    """``catalog`` after this feed was merged into it.
+
+    The batch is written out first: the merge reads it more than once, and the feed's
+    text files should be parsed once.
+    """
+    records = read_source(spark, source, folder, as_of)
+    batch = stage(last_per_key(records, "original_url").drop(SEQUENCE), "batch")
+    return merge_upsert(catalog, batch, "original_url", preserve)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lectern.operators.merge import SEQUENCE, accepted, last_per_key, merge_upsert
 from lectern.schema import COURSERA_PAGE
+from lectern.scratch import stage
 from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
 
@@ -60,7 +61,8 @@ def sync_available_now(
         if store.has(tag):
             return
         last = last_per_key(accepted(unify(records(batch), as_of)), "original_url")
-        store.write(merge_upsert(store.read(), last.drop(SEQUENCE)), tag)
+        staged = stage(last.drop(SEQUENCE), "batch")
+        store.write(merge_upsert(store.read(), staged), tag)
 
     query = (
         raw.writeStream.foreachBatch(apply)

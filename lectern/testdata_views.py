@@ -37,27 +37,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One course per document."""
+def courses(spark: SparkSession, sf_dir: str, skills: bool = False) -> DataFrame:
+    """One course per document; the join for ``skills`` only where they are used."""
     doc_id = F.col("doc_id")
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), "p_name")
-    return (
-        table(spark, sf_dir, "documents")
-        .join(parts, "doc_id", "left")
-        .select(
-            doc_id.cast("string").alias("_id"),
-            F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
-            F.col("text").alias("description"),
-            F.col("source").alias("category"),
-            F.when(doc_id % 2 == 1, F.col("p_name")).alias("skills"),
-            F.expr(LEVEL_RULE).alias("level"),
-            F.concat(F.lit(COURSE_URL), doc_id.cast("string")).alias("original_url"),
-            F.when(doc_id % 2 == 0, "edX").otherwise("Coursera").alias("source_repository"),
-            F.when(doc_id % 3 == 0, F.upper("lang")).otherwise(F.col("lang")).alias("language"),
-            F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("last_updated"),
-            F.lit(None).cast("int").alias("cluster"),
+    documents = table(spark, sf_dir, "documents")
+    columns = {
+        "_id": doc_id.cast("string"),
+        "title": F.split_part("text", F.lit("\n"), F.lit(1)),
+        "description": F.col("text"),
+        "category": F.col("source"),
+        "level": F.expr(LEVEL_RULE),
+        "original_url": F.concat(F.lit(COURSE_URL), doc_id.cast("string")),
+        "source_repository": F.when(doc_id % 2 == 0, "edX").otherwise("Coursera"),
+        "language": F.when(doc_id % 3 == 0, F.upper("lang")).otherwise(F.col("lang")),
+        "last_updated": F.to_timestamp(F.lit("2024-01-01 00:00:00")),
+        "cluster": F.lit(None).cast("int"),
+    }
+    if skills:
+        parts = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("doc_id"), "p_name"
         )
-    )
+        documents = documents.join(parts, "doc_id", "left")
+        columns["skills"] = F.when(doc_id % 2 == 1, F.col("p_name"))
+    return documents.select(*(c.alias(name) for name, c in columns.items()))
 
 
 LIKES_SQL = """likes AS (

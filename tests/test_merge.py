@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators.merge import accepted, last_per_key, merge_upsert, union_sources
+from lectern.operators.merge import accepted, is_small, last_per_key, merge_upsert, union_sources
 
 SCHEMA = "_id string, original_url string, title string, skills string, cluster int"
 
@@ -94,3 +94,18 @@ def test_union_fills_missing_columns(spark):
     b = spark.createDataFrame([("2", "s")], "x string, skills string")
     got = union_sources(a, b).orderBy("x").collect()
     assert [(r.x, r.skills) for r in got] == [("1", None), ("2", "s")]
+
+
+def test_a_batch_is_small_by_rows_and_by_bytes(spark):
+    batch = spark.createDataFrame([("u1", "é" * 100), ("u2", None)], "k string, t string")
+    assert is_small(batch, 2, 204)
+    assert not is_small(batch, 1, 204)
+    assert not is_small(batch, 2, 203)
+    assert is_small(batch.filter("false"), 0, 0)
+
+
+def test_a_small_batch_leaves_the_stored_table_where_it_is(spark, stored, capsys):
+    batch = spark.createDataFrame([("u2", "TWO")], "original_url string, title string")
+    merge_upsert(stored, batch).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
