@@ -37,6 +37,13 @@ from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
 from lectern.streaming.sync import sync_available_now
 
+try:
+    from lectern.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("lectern.llm", "lectern.llm.queries", "corpus_pipeline"):
+        raise
+    llm = None
+
 AS_OF = datetime.datetime(2024, 1, 1)
 COURSE_ID = "104"
 USER_ID = 7
@@ -283,7 +290,11 @@ def sync_incremental(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
-    """One entry per operator or composite query."""
+    """One entry per operator or composite query, and those of ``llm`` where it is there."""
+    return own_queries() | (llm.queries() if llm else {})
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "norm_language": norm_language,
         "norm_language_display": norm_language_display,
@@ -412,6 +423,10 @@ def _on_similarity(select: str, *views: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL with the same result, column for column."""
+    return own_oracle_sql() | (llm.oracle_sql() if llm else {})
+
+
+def own_oracle_sql() -> dict[str, str]:
     return {
         "norm_language": _on_courses(f"SELECT _id, {_NAME_SQL} AS language_name FROM courses"),
         "norm_language_display": _on_courses(

@@ -30,10 +30,10 @@ def canonical(rows):
 
 
 def test_only_what_sql_cannot_say_has_no_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == SLOW
+    assert set(entry.own_queries()) - set(entry.own_oracle_sql()) == SLOW
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.own_oracle_sql()))
 def test_query_equals_its_sql(spark, duck, name):
     got = entry.queries()[name](spark, SF_DIR)
     columns = sorted(got.columns)
