@@ -8,13 +8,63 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe
+from lectern.llm import bpe, language, mixing, quality, sharding
 from lectern.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+#: Documents with at least this probability of label 1 are kept.
+QUALITY = 0.3
+SHARDS = 8
+
+
+def _fold(n: int):
+    """The remainder that says which documents a model may learn from."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op4_pivotal_mixing(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"),
+        "copies",
+    )
+
+
+def op5_bounded_ring(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    rows = docs.select(
+        "doc_id",
+        (F.octet_length(raw) + 1).cast("long").alias("size"),
+        F.crc32(raw).alias("text_crc32"),
+    )
+    placed = sharding.assign(rows, "doc_id", SHARDS, tie=[F.col("text_crc32"), F.col("size")])
+    return placed.select(
+        "doc_id", "size", "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "home_shard", "hops",
+    )
+
+
+def op7_quality_cnn(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    net = quality.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = quality.score(docs, net)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def op8_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path(RANKS)
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,9 +78,21 @@ def op8_byte_bpe(spark, sf_dir):
     )
 
 
+def op9_language_nb(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = language.fit(docs, ~held_out)
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op4_pivotal_mixing": op4_pivotal_mixing,
+        "op5_bounded_ring": op5_bounded_ring,
+        "op7_quality_cnn": op7_quality_cnn,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_language_nb": op9_language_nb,
     }
 
 
