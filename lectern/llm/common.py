@@ -15,8 +15,8 @@ from lectern.scratch import stage
 # Rows of a lookup table up to which it is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 # Rows and bytes that a Python worker receives at once.
-BATCH_ROWS = 256
-BATCH_BYTES = 8 << 20
+BATCH_ROWS = 20_000
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, language, mixing, quality, sharding
+from lectern.llm import bpe, jaccard, language, lattice, mixing, quality, sharding
 from lectern.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def _fold(n: int):
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op4_pivotal_mixing(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select(
@@ -86,13 +90,19 @@ def op9_language_nb(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_e8_lattice(spark, sf_dir):
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_pivotal_mixing": op4_pivotal_mixing,
         "op5_bounded_ring": op5_bounded_ring,
         "op7_quality_cnn": op7_quality_cnn,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language_nb": op9_language_nb,
+        "op10_e8_lattice": op10_e8_lattice,
     }
 
 
