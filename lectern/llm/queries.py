@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, jaccard, language, lattice, mixing, quality, sharding
+from lectern.llm import bpe, imatch, jaccard, language, lattice, mixing, quality, sharding
 from lectern.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op5_bounded_ring(spark, sf_dir):
     )
 
 
+def op6_imatch(spark, sf_dir):
+    return imatch.compare_edited(read(spark, sf_dir, "documents"))
+
+
 def op7_quality_cnn(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
@@ -99,6 +103,7 @@ def queries() -> dict[str, Query]:
         "op3_jaccard_join": op3_jaccard_join,
         "op4_pivotal_mixing": op4_pivotal_mixing,
         "op5_bounded_ring": op5_bounded_ring,
+        "op6_imatch": op6_imatch,
         "op7_quality_cnn": op7_quality_cnn,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language_nb": op9_language_nb,
