@@ -23,6 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def fold(n: int, doc_id: str = "doc_id") -> Column:
+    """The remainder that says which documents a model may learn from; null ids have none."""
+    return F.crc32(F.col(doc_id).cast("string")) % n
+
+
 def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is counted and found to be small."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -169,7 +169,7 @@ def mix(
     small = rows.select(source_of, F.col("__size").alias("size"), F.col("__tie").alias("tie"),
                         F.col("__row").alias("row"), F.col(f"`{doc_id}`").alias("id"))
     goal = stage(targets(small), "targets")
-    many = if_small(goal.select(F.col("source").alias("of"), "source_size", "target"))
+    many = if_small(goal.select(*[F.col(c).alias(f"__goal_{c}") for c in goal.columns]))
     order = [F.col("source"), F.col("size").desc(), *map(F.col, ("id", "tie", "row"))]
     placed = ranked(small.filter("size > 0"), order, name="key").drop("tie", "id")
     placed = stage(_classed(placed), "classed")
@@ -212,13 +212,13 @@ def mix(
         )
     copies = if_small(done.select(F.col("row").alias("__row"), F.col("copies").alias("__copies")))
     out = rows.join(copies, "__row", "left").join(
-        many, F.col(f"`{source}`").cast("string").eqNullSafe(F.col("of")), "left"
+        many, F.col(f"`{source}`").cast("string").eqNullSafe(F.col("__goal_source")), "left"
     )
     return out.select(
         *[F.col(f"`{c}`") for c in docs.columns if c not in added],
         F.col("__size").alias(added[0]),
-        out["source_size"].alias(added[1]),
-        out["target"].alias(added[2]),
+        F.col("__goal_source_size").alias(added[1]),
+        F.col("__goal_target").alias(added[2]),
         F.coalesce("__copies", F.lit(0).cast("long")).alias(added[3]),
     )
 

@@ -8,21 +8,67 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, imatch, jaccard, language, lattice, mixing, quality, sharding
-from lectern.llm.common import read
+import corpus_pipeline
+from corpus_pipeline import LEAST_QUALITY, RANKS
+from lectern.llm import (
+    attribution,
+    bpe,
+    imatch,
+    jaccard,
+    language,
+    lattice,
+    mixing,
+    quality,
+    sharding,
+    toolcalls,
+)
+from lectern.llm.common import fold, read
 
 Query = Callable[[SparkSession, str], DataFrame]
-RANKS = "byte_bpe_50k.tiktoken"
 
 
-#: Documents with at least this probability of label 1 are kept.
-QUALITY = 0.3
 SHARDS = 8
 
 
-def _fold(n: int):
-    """The remainder that says which documents a model may learn from."""
-    return F.crc32(F.col("doc_id").cast("string")) % n
+#: The tools of the test conversations: a system turn configures, a user turn asks.
+TOOLS = [
+    ("ask", "query", "string", True, 250),
+    ("ask", "turn", "integer", True, 1_000),
+    ("configure", "query", "string", True, 150),
+    ("configure", "turn", "integer", True, 0),
+]
+
+
+def op1_tool_calls(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    number = F.col("turn").cast("string")
+    parent = F.when(F.col("turn") == 1, 0).when(F.col("turn") > 1, F.col("turn") - 2)
+    calls = turns.filter("role IN ('user', 'system')").select(
+        "conv_id",
+        F.concat(F.lit("call_"), number).alias("call_id"),
+        "turn",
+        F.when(F.col("role") == "system", "configure").otherwise("ask").alias("tool"),
+        F.concat(
+            F.lit('{ "turn": '), number,
+            F.lit(', "query": '), toolcalls.json_string(F.col("text")), F.lit(" }"),
+        ).alias("arguments"),
+        F.array_compact(F.array(F.concat(F.lit("call_"), parent.cast("string")))).alias("after"),
+    )
+    results = turns.filter("role = 'assistant'").select(
+        "conv_id",
+        F.concat(F.lit("call_"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        "turn",
+        F.col("text").alias("content"),
+    )
+    linked = toolcalls.link(calls, results, spark.createDataFrame(TOOLS, toolcalls.SCHEMA))
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
+def op2_token_attribution(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return attribution.token_counts(
+        docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    )
 
 
 def op3_jaccard_join(spark, sf_dir):
@@ -62,14 +108,14 @@ def op6_imatch(spark, sf_dir):
 
 def op7_quality_cnn(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    held_out = F.coalesce(fold(5) == 0, F.lit(False))
     net = quality.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
     scored = quality.score(docs, net)
     return scored.select(
         "doc_id",
         held_out.alias("held_out"),
         "score",
-        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+        (F.col("score") >= LEAST_QUALITY).cast("int").alias("predicted"),
     )
 
 
@@ -88,7 +134,7 @@ def op8_byte_bpe(spark, sf_dir):
 
 def op9_language_nb(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    held_out = F.coalesce(fold(3) == 1, F.lit(False))
     model = language.fit(docs, ~held_out)
     found = language.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
@@ -100,6 +146,8 @@ def op10_e8_lattice(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_tool_calls": op1_tool_calls,
+        "op2_token_attribution": op2_token_attribution,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_pivotal_mixing": op4_pivotal_mixing,
         "op5_bounded_ring": op5_bounded_ring,
@@ -108,8 +156,51 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language_nb": op9_language_nb,
         "op10_e8_lattice": op10_e8_lattice,
+        "pipeline": corpus_pipeline.run,
     }
 
 
+_TOOL_CALLS_SQL = """
+WITH RECURSIVE calls AS (
+    SELECT conv_id, 'call_' || turn AS call_id, turn,
+           CASE role WHEN 'system' THEN 'configure' ELSE 'ask' END AS tool, text,
+           CASE WHEN turn = 1 THEN 0 WHEN turn > 1 THEN turn - 2 END AS parent,
+           count(*) OVER (PARTITION BY conv_id, turn) AS n_calls
+    FROM conversations WHERE role IN ('user', 'system')
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY role DESC, text) = 1),
+results AS (
+    SELECT conv_id, 'call_' || (turn - 1) AS call_id, turn AS result_turn, text AS content,
+           count(*) OVER (PARTITION BY conv_id, turn) AS n_results
+    FROM conversations WHERE role = 'assistant'
+    QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) = 1),
+levels AS (
+    SELECT conv_id, turn, 0 AS level FROM calls c WHERE NOT EXISTS (
+        SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.parent)
+    UNION ALL
+    SELECT c.conv_id, c.turn, l.level + 1
+    FROM calls c JOIN levels l ON c.conv_id = l.conv_id AND c.parent = l.turn),
+placed AS (
+    SELECT c.*, level, row_number() OVER (
+        PARTITION BY conv_id ORDER BY level, turn, call_id) - 1 AS position
+    FROM calls c JOIN levels USING (conv_id, turn))
+SELECT conv_id, call_id, turn, tool, level, position, result_turn,
+       coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
+       CASE WHEN n_calls IS NULL THEN 'no call' WHEN n_results IS NULL THEN 'no result'
+            ELSE 'linked' END AS status,
+       CASE WHEN tool IS NULL THEN ''
+            WHEN text IS NULL THEN 'type of query'
+            ELSE concat_ws('; ',
+                CASE WHEN length(text) > CASE tool WHEN 'ask' THEN 250 ELSE 150 END
+                     THEN 'query too large' END,
+                CASE WHEN turn > CASE tool WHEN 'ask' THEN 1000 ELSE 0 END
+                     THEN 'turn too large' END) END AS errors,
+       '{"arguments":' || CASE WHEN tool IS NULL THEN 'null'
+                               ELSE CAST(json_object('query', text, 'turn', turn) AS VARCHAR) END
+       || ',"call_id":' || CAST(to_json(call_id) AS VARCHAR)
+       || ',"name":' || coalesce(CAST(to_json(tool) AS VARCHAR), 'null')
+       || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS message
+FROM placed FULL JOIN results USING (conv_id, call_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_tool_calls": _TOOL_CALLS_SQL}
