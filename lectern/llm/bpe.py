@@ -129,9 +129,8 @@ def encode(
 
         return run
 
-    kept = docs.withColumn("__text", docs[text])
     fields = [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType())]
-    return append_columns(kept, ["__text"], fields, make)
+    return append_columns(docs, [text], fields, make)
 
 
 def decode(
@@ -152,5 +151,4 @@ def decode(
 
         return run
 
-    kept = encoded.withColumn("__ids", encoded[ids])
-    return append_columns(kept, ["__ids"], [T.StructField(decoded, T.BinaryType())], make)
+    return append_columns(encoded, [ids], [T.StructField(decoded, T.BinaryType())], make)

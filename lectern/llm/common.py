@@ -52,10 +52,10 @@ def append_columns(
     """
     small_batches(df.sparkSession)
     names = [f.name for f in fields]
-    kept = df.drop(*[n for n in names if n not in inputs])
+    replaced = {n.lower() for n in names}
     reads = [f"__in{i}" for i in range(len(inputs))]
-    sent = kept.select(
-        *[F.col(f"`{c}`") for c in kept.columns if c not in names],
+    sent = df.select(
+        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in replaced],
         *[F.col(f"`{c}`").alias(r) for c, r in zip(inputs, reads)],
     )
     rest = [c for c in sent.columns if c not in reads]

@@ -188,6 +188,5 @@ def predict(
 
         return run
 
-    kept = docs.withColumn("__text", docs[text])
     fields = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    return append_columns(kept, ["__text"], fields, make)
+    return append_columns(docs, [text], fields, make)

@@ -245,5 +245,4 @@ def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score")
 
         return run
 
-    kept = docs.withColumn("__text", docs[text])
-    return append_columns(kept, ["__text"], [T.StructField(out, T.DoubleType())], make)
+    return append_columns(docs, [text], [T.StructField(out, T.DoubleType())], make)
