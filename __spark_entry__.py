@@ -18,10 +18,11 @@ from lectern.functions.vocabulary import LANGUAGE_GROUPS, STOP_WORDS
 from lectern.operators import facets, merge
 from lectern.operators.cluster import cluster_courses, with_cluster_text
 from lectern.operators.features import postings_of, text_groups, weighted_terms
-from lectern.operators.filters import CourseFilter, apply_filter
+from lectern.operators.filters import CourseFilter, apply_filter, with_filter_columns
 from lectern.operators.paging import clamp_page, page_count
 from lectern.plans.cards import course_cards, course_details
-from lectern.plans.harvest import harvest, read_source
+from lectern.operators.skew import lookup_join
+from lectern.plans.harvest import harvest
 from lectern.plans.listing import course_by_id, list_courses
 from lectern.plans.similar import (
     find_similar,
@@ -30,7 +31,7 @@ from lectern.plans.similar import (
     similar_courses,
     similar_text_pairs,
 )
-from lectern.plans.suggest import suggest_for_all, suggest_for_likes
+from lectern.plans.suggest import suggest_for_all
 from lectern.schema import COURSE
 from lectern.scratch import scratch_path, stage
 from lectern.sources import feeds
@@ -73,6 +74,16 @@ def _similarity(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Data
     return _stored[key]
 
 
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The courses as a stored catalog, with its filter columns and sorted by id."""
+    key = (spark.sparkContext.applicationId, f"catalog of {sf_dir}")
+    if key not in _stored:
+        courses = with_filter_columns(V.courses(spark, sf_dir))
+        placed = courses.repartitionByRange("_id").sortWithinPartitions("_id")
+        _stored[key] = stage(placed, "catalog")
+    return _stored[key]
+
+
 def _empty_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], COURSE)
 
@@ -118,6 +129,11 @@ def list_page(spark, sf_dir):
     return found.data.select("_id", "title", "category", "level", "language")
 
 
+def list_count(spark, sf_dir):
+    found = list_courses(_catalog(spark, sf_dir), category="src3", page=3)
+    return found.data.agg(F.count(F.lit(1)).alias("count"))
+
+
 def list_total(spark, sf_dir):
     return list_courses(
         V.courses(spark, sf_dir), language="English", level="Beginner", search=SEARCH
@@ -126,7 +142,7 @@ def list_total(spark, sf_dir):
 
 def _ids(**wanted: str) -> Query:
     def run(spark, sf_dir):
-        return apply_filter(V.courses(spark, sf_dir), CourseFilter(**wanted)).select("_id")
+        return apply_filter(_catalog(spark, sf_dir), CourseFilter(**wanted)).select("_id")
 
     return run
 
@@ -137,7 +153,7 @@ def highlight_title(spark, sf_dir):
 
 
 def lookup_course(spark, sf_dir):
-    return course_by_id(V.courses(spark, sf_dir), COURSE_ID).select("_id", "title", "level")
+    return course_by_id(_catalog(spark, sf_dir), COURSE_ID).select("_id", "title", "level")
 
 
 def page_numbers(spark, sf_dir):
@@ -166,11 +182,7 @@ def facet_languages(spark, sf_dir):
 def ingest_edx(spark, sf_dir):
     folder = V.written_edx_feed(spark, sf_dir)
     # Spark chooses the names of the files it writes, so all CSV files are read here.
-    raw = feeds.read_edx_csv(spark, folder, "*.csv")
-    batch = merge.last_per_key(
-        merge.accepted(feeds.unified_edx(raw, AS_OF)), "original_url"
-    ).drop(merge.SEQUENCE)
-    merged = merge.merge_upsert(_empty_catalog(spark), batch)
+    merged = harvest(spark, "edx", folder, _empty_catalog(spark), AS_OF, pattern="*.csv")
     return merged.select(*CATALOG_COLUMNS)
 
 
@@ -220,12 +232,13 @@ def merge_upsert(spark, sf_dir):
 
 
 def term_weights(spark, sf_dir):
-    groups = text_groups(V.courses(spark, sf_dir), "description", 1).groups
-    words = weighted_terms(groups)
+    groups = text_groups(V.courses(spark, sf_dir), "description", 1)
+    words = weighted_terms(groups.groups)
+    # A frequent word's entries are not brought together, and copies share their rows.
+    named = lookup_join(postings_of(words.vectors).select("g", "tid", "w"), words.terms, "tid")
     return (
-        postings_of(words.vectors).select("g", "tid", "w")
-        .join(words.terms, "tid")
-        .join(groups.select("g", F.col("ids")[0].alias("_id")), "g")
+        named.join(groups.groups.select("g", "digest"), "g")
+        .join(groups.members, "digest")
         .select("_id", "term", "df", F.round("w", 6).alias("weight"))
     )
 
@@ -247,9 +260,8 @@ def similar_to_course(spark, sf_dir):
 
 def suggestions_user(spark, sf_dir):
     mine = V.likes(spark, sf_dir).filter(F.col("user_id") == USER_ID)
-    liked = [row.course_id for row in mine.select("course_id").collect()]
-    found = suggest_for_likes(_similarity(spark, sf_dir), liked)
-    return found.withColumn("max_score", F.round("max_score", 6))
+    found = suggest_for_all(_similarity(spark, sf_dir), mine)
+    return found.select("suggested_course_id", F.round("max_score", 6).alias("max_score"))
 
 
 def suggestions_all(spark, sf_dir):
@@ -289,6 +301,19 @@ def sync_incremental(spark, sf_dir):
     return store.read().select(*CATALOG_COLUMNS)
 
 
+def sync_two_folders(spark, sf_dir):
+    """Both feeds, each with its own checkpoint, into one store."""
+    store = CatalogStore(spark, scratch_path(spark, "catalog"))
+    for source, folder, pattern in (
+        ("coursera", V.written_coursera_feed(spark, sf_dir), None),
+        ("edx", V.written_edx_feed(spark, sf_dir), "*.csv"),
+    ):
+        sync_available_now(
+            spark, source, folder, store, scratch_path(spark, "sync"), AS_OF, pattern=pattern
+        )
+    return store.read().select(*CATALOG_COLUMNS)
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator or composite query, and those of ``llm`` where it is there."""
     return own_queries() | (llm.queries() if llm else {})
@@ -333,6 +358,9 @@ def own_queries() -> dict[str, Query]:
         "clean_cluster_text": clean_cluster_text,
         "cluster_courses": clusters,
         "sync_available_now": sync_incremental,
+        "sync_two_folders": sync_two_folders,
+        "list_count": list_count,
+        "search_title_escaped": _ids(search="n."),
     }
 
 
@@ -531,8 +559,8 @@ def own_oracle_sql() -> dict[str, str]:
                    original_url, c.source_repository, c.language,
                    CAST(length(c.title) AS INTEGER) AS cluster
             FROM courses c FULL JOIN updates u USING (original_url)""",
-        "term_weights": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}, {_TEXTS_SQL}
-            SELECT _id, term, df, round(w, 6) AS weight FROM unit JOIN texts USING (_id)""",
+        "term_weights": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}
+            SELECT _id, term, df, round(w, 6) AS weight FROM unit""",
         "similar_pairs_exact": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}, {_TEXTS_SQL},
             {_SCORES_SQL}
             SELECT a._id AS id_a, a.copies AS copies_a, b._id AS id_b,
@@ -576,6 +604,24 @@ def own_oracle_sql() -> dict[str, str]:
             """SELECT _id, regexp_replace(coalesce(skills, category, ''),
                    '[^a-zA-Z0-9\\s]', '', 'g') AS clustering_text_cleaned FROM courses"""
         ),
+        "list_count": _on_courses(
+            """SELECT count(*) AS count FROM (
+                SELECT _id FROM courses WHERE lower(category) = 'src3'
+                ORDER BY _id LIMIT 18 OFFSET 36)"""
+        ),
+        "search_title_escaped": _on_courses(
+            "SELECT _id FROM courses WHERE contains(lower(title), 'n.')"
+        ),
+        "sync_two_folders": f"""WITH {V.EDX_FEED_SQL}, {_EDX_SQL},
+            {V.COURSERA_FEED_SQL}, {_COURSERA_SQL}
+            SELECT {_NEW_ID} AS _id, title, description, category,
+                   CAST(NULL AS VARCHAR) AS skills, level, original_url,
+                   source_repository, language, CAST(NULL AS INTEGER) AS cluster
+            FROM unified_edx WHERE title <> '' AND original_url <> ''
+            UNION ALL
+            SELECT {_NEW_ID}, title, description, category, skills, level, original_url,
+                   source_repository, language, CAST(NULL AS INTEGER)
+            FROM unified_coursera WHERE title <> '' AND original_url <> ''""",
         "sync_available_now": f"""WITH {V.COURSES_SQL}, {V.COURSERA_FEED_SQL},
             {_COURSERA_SQL}
             SELECT {', '.join(CATALOG_COLUMNS)} FROM courses

@@ -45,5 +45,9 @@ def clamp_page(requested: Column, pages: Column) -> Column:
     """A requested page (text or number) moved into ``1 .. pages``."""
     digits = F.regexp_extract(requested.cast("string"), r"^\s*([+-]?\d+)", 1)
     number = digits.try_cast("long")
-    wanted = F.coalesce(F.when(number >= 1, number), F.lit(1))
+    # More digits than a long has: beyond the last page, unless negative.
+    beyond = number.isNull() & digits.rlike(r"^[+]?\d+$")
+    wanted = F.when(beyond, pages.cast("long")).otherwise(
+        F.coalesce(F.when(number >= 1, number), F.lit(1))
+    )
     return F.least(wanted, pages.cast("long"))

@@ -18,14 +18,22 @@ SOURCES = {
 
 
 def read_source(
-    spark: SparkSession, source: str, folder: str, as_of: datetime.datetime
+    spark: SparkSession,
+    source: str,
+    folder: str,
+    as_of: datetime.datetime,
+    **reading: object,
 ) -> DataFrame:
-    """The accepted records of a feed, repeated URLs included, with their position."""
+    """The accepted records of a feed, repeated URLs included, with their position.
+
+    ``reading`` goes to the feed's reader: ``pattern`` for file names and, for CSV,
+    ``multi_line=False`` where no cell has a line feed, so that files can be split.
+    """
     try:
         read, unify = SOURCES[source.lower()]
     except KeyError:
         raise ValueError(f"unknown source {source!r}: use one of {sorted(SOURCES)}") from None
-    return accepted(unify(read(spark, folder), as_of))
+    return accepted(unify(read(spark, folder, **reading), as_of))
 
 
 def harvest(
@@ -35,12 +43,13 @@ def harvest(
     catalog: DataFrame,
     as_of: datetime.datetime,
     preserve: Sequence[str] = ("cluster",),
+    **reading: object,
 ) -> DataFrame:
     """``catalog`` after this feed was merged into it.
 
     The batch is written out first: the merge reads it more than once, and the feed's
     text files should be parsed once.
     """
-    records = read_source(spark, source, folder, as_of)
+    records = read_source(spark, source, folder, as_of, **reading)
     batch = stage(last_per_key(records, "original_url").drop(SEQUENCE), "batch")
     return merge_upsert(catalog, batch, "original_url", preserve)

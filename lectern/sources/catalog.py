@@ -2,13 +2,15 @@
 
 Spark has no ``MERGE`` on parquet and a job must not overwrite what it reads, so each
 change is written as a new version folder. A version counts once its job committed
-(``_SUCCESS``); readers take the newest.
+(``_SUCCESS``); readers take the newest. A writer claims its version's number first, by
+creating a file that must not exist, so of two writers at a time one fails.
 """
 
 from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,8 @@ from pyspark.sql import types as T
 from lectern.schema import COURSE
 
 VERSION = re.compile(r"v=(\d{8})(?:-(.+))?")
+#: Versions that are kept; older ones are deleted when a new one has been committed.
+KEPT = 3
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType = COURSE) -> DataFrame:
@@ -24,25 +28,32 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = COURSE)
 
 
 class CatalogStore:
-    """Versions of one table under ``root``."""
+    """Versions of one table under ``root``; ``kept`` of them stay, for slow readers."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = COURSE):
+    def __init__(
+        self, spark: SparkSession, root: str, schema: T.StructType = COURSE, kept: int = KEPT
+    ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.kept = max(kept, 1)
+
+    def _path(self, name: str = ""):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.root + name)
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def versions(self) -> list[tuple[int, str | None, str]]:
         """Committed versions, oldest first, as ``(number, tag, path)``."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
+        fs = self._files()
+        if not fs.exists(self._path()):
             return []
         found = []
-        for status in fs.listStatus(root):
-            match = VERSION.fullmatch(status.getPath().getName())
-            done = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if match and fs.exists(done):
+        for status in fs.listStatus(self._path()):
+            name = status.getPath().getName()
+            match = VERSION.fullmatch(name)
+            if match and fs.exists(self._path(f"/{name}/_SUCCESS")):
                 found.append((int(match[1]), match[2], status.getPath().toString()))
-        return sorted(found)
+        return sorted(found, key=lambda version: (version[0], version[1] or ""))
 
     def has(self, tag: str) -> bool:
         return any(found == tag for _, found, _ in self.versions())
@@ -54,10 +65,37 @@ class CatalogStore:
             return self.spark.createDataFrame([], self.schema)
         return read_catalog(self.spark, versions[-1][2], self.schema)
 
+    def _claim(self, number: int, tag: str | None) -> None:
+        """Take ``number``, or raise. A tag that has claimed it before may go on."""
+        fs, claim = self._files(), self._path(f"/_claims/{number:08d}")
+        try:
+            out = fs.create(claim, False)
+        except Py4JJavaError:
+            if not fs.exists(claim):
+                raise
+            stream = fs.open(claim)
+            owner = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            if tag is None or owner != tag:
+                raise RuntimeError(
+                    f"version {number} of {self.root} is claimed by {owner or 'a writer'}"
+                ) from None
+        else:
+            out.write(bytearray((tag or "").encode()))
+            out.close()
+
+    def release(self, number: int) -> None:
+        """Give up a claim whose writer is known to be gone."""
+        self._files().delete(self._path(f"/_claims/{number:08d}"), False)
+
     def write(self, table: DataFrame, tag: str | None = None) -> int:
-        """Add a version. ``tag`` names what it came from, so a replay is seen."""
+        """Add a version. ``tag`` names what it came from, so a replay is seen.
+
+        Raises if another writer has taken the next version's number.
+        """
         versions = self.versions()
         number = versions[-1][0] + 1 if versions else 0
+        self._claim(number, tag)
         name = f"v={number:08d}" + (f"-{tag}" if tag else "")
         fields = [
             (F.col(f.name) if f.name in table.columns else F.lit(None))
@@ -65,5 +103,8 @@ class CatalogStore:
             .alias(f.name)
             for f in self.schema
         ]
+        # What an own failed attempt has left at this path is no version, and goes.
         table.select(*fields).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        for _, _, old in self.versions()[: -self.kept]:
+            self._files().delete(self.spark._jvm.org.apache.hadoop.fs.Path(old), True)
         return number

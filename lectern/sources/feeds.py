@@ -54,9 +54,15 @@ def edx_records(raw: DataFrame) -> DataFrame:
     return raw.select(*cells, _position().alias(SEQUENCE))
 
 
-def read_edx_csv(spark: SparkSession, folder: str, pattern: str = EDX_FILES) -> DataFrame:
-    """All CSV files of ``folder`` whose name contains ``edx``, columns by header."""
-    raw = spark.read.options(**CSV_OPTIONS, pathGlobFilter=pattern).csv(folder)
+def read_edx_csv(
+    spark: SparkSession, folder: str, pattern: str = EDX_FILES, multi_line: bool = True
+) -> DataFrame:
+    """All CSV files of ``folder`` whose name contains ``edx``, columns by header.
+
+    With ``multi_line`` a file is one task, since a cell may span lines.
+    """
+    options = CSV_OPTIONS | {"multiLine": str(multi_line).lower(), "pathGlobFilter": pattern}
+    raw = spark.read.options(**options).csv(folder)
     return edx_records(with_file(raw))
 
 

@@ -46,9 +46,11 @@ def sync_available_now(
 ) -> None:
     """Merge all new files of ``folder`` into ``store``, then stop.
 
-    Each micro-batch becomes one catalog version, tagged with the stream and the batch
-    number. A batch that is replayed after a failure finds its version committed and
-    is left out, so every file counts once.
+    All new files are one batch, and so one merge, unless ``files_per_batch`` is set. A
+    batch becomes one catalog version, tagged with the stream's id, which its checkpoint
+    keeps, and the batch's number. A batch that is replayed after a failure finds its
+    version committed and is left out. Another folder, or another checkpoint, is another
+    stream: its files are merged, and merging a file once more changes nothing.
     """
     source = source.lower()
     if source not in FEEDS:
@@ -57,7 +59,8 @@ def sync_available_now(
     raw = feeds.with_file(_feed_stream(spark, source, folder, files_per_batch, pattern))
 
     def apply(batch: DataFrame, number: int) -> None:
-        tag = f"{source}-{number}"
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        tag = f"{source}-{stream}-{number}"
         if store.has(tag):
             return
         last = last_per_key(accepted(unify(records(batch), as_of)), "original_url")

@@ -133,13 +133,44 @@ def test_sync_equals_one_merge(spark, pages, tmp_path, files_per_batch):
     assert len(store.versions()) == versions
 
 
-def test_sync_replay_changes_nothing(spark, pages, tmp_path):
+def page_file(folder, name, *urls):
+    rows = [{"row": {"title": f"T {u}", "URL": u, "Description": "d"}} for u in urls]
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(json.dumps({"rows": rows}))
+    return str(folder)
+
+
+def test_sync_of_two_folders_keeps_both(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"))
+    one = page_file(tmp_path / "one", "a.json", "u1")
+    two = page_file(tmp_path / "two", "a.json", "u2")
+    sync_available_now(spark, "coursera", one, store, str(tmp_path / "a"), AS_OF)
+    sync_available_now(spark, "coursera", two, store, str(tmp_path / "b"), AS_OF)
+    assert {r.original_url for r in store.read().collect()} == {"u1", "u2"}
+
+
+def test_sync_after_a_lost_checkpoint_sees_new_files(spark, tmp_path):
     store = CatalogStore(spark, str(tmp_path / "catalog"))
-    sync_available_now(spark, "coursera", pages, store, str(tmp_path / "a"), AS_OF)
-    before = store.versions()
-    # A lost checkpoint replays batch 0; its version is already there.
-    sync_available_now(spark, "coursera", pages, store, str(tmp_path / "b"), AS_OF)
-    assert store.versions() == before
+    folder = page_file(tmp_path / "one", "a.json", "u1")
+    sync_available_now(spark, "coursera", folder, store, str(tmp_path / "a"), AS_OF)
+    page_file(tmp_path / "one", "b.json", "u2")
+    sync_available_now(spark, "coursera", folder, store, str(tmp_path / "b"), AS_OF)
+    want = harvest(spark, "coursera", folder, spark.createDataFrame([], COURSE), AS_OF)
+    assert sorted(store.read().collect()) == sorted(want.select(*COURSE.names).collect())
+
+
+def test_a_claimed_version_is_not_overwritten(spark, tmp_path):
+    store = CatalogStore(spark, str(tmp_path / "catalog"), kept=2)
+    row = spark.createDataFrame([("1", "u")], "_id string, original_url string")
+    store.write(row, "a")
+    store._claim(1, "other")
+    with pytest.raises(RuntimeError, match="claimed by other"):
+        store.write(row, "b")
+    assert store.write(row, "other") == 1  # a replay of the claim's own batch
+    store._claim(2, None)
+    store.release(2)
+    assert store.write(row) == 2
+    assert [number for number, _, _ in store.versions()] == [1, 2]
 
 
 def test_sync_edx(spark, edx, tmp_path):

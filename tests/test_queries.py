@@ -50,5 +50,12 @@ def test_other_queries_run(spark, name):
     assert entry.queries()[name](spark, SF_DIR).count() > 0
 
 
+@pytest.mark.parametrize("name", ["filter_category", "filter_language", "course_by_id"])
+def test_filters_reach_the_stored_catalog(spark, capsys, name):
+    entry.queries()[name](spark, SF_DIR).explain("formatted")
+    pushed = [x for x in capsys.readouterr().out.splitlines() if "PushedFilters" in x]
+    assert any("EqualTo" in x for x in pushed)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["_id", "rank", "similar_doc_id", "score"]
