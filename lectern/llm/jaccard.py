@@ -19,7 +19,9 @@ integers: ``100 * intersection >= PERCENT * union``.
    nearest to the front, in rounds: heads are checked with the members they may reach,
    links join components, and lists whose entries are in one component are skipped. The
    last round compares what is left, entries of different components, by pairs that pass
-   the bounds on size and position. So copies of one another never make all pairs.
+   the bounds on size and position. So copies of one another never make all pairs. What
+   two prefixes have in common bounds a pair's overlap; only pairs that may still link
+   are checked by their whole sets.
 5. Answer-level skipping: a set that is nearly its head's keeps what it lacks and adds.
    Its overlap with another set is the head's overlap, computed once, less what it lacks
    and plus what it adds; its own set is not shipped again.
@@ -32,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +45,9 @@ SHINGLE, PERCENT = 5, 80
 #: Shingles whose frequency is known when sets are ordered, at most.
 FREQUENT = 1 << 17
 #: Rounds that compare lists with their heads before what is left is compared in pairs.
-ROUNDS = 3
-#: Members that a head is compared with in one task.
-MEMBERS = 128
+ROUNDS = 2
+# Bytes of text and shingles that are worked on at once.
+PIECE, COUNTED = 1 << 19, 1 << 21
 # A set is kept as a difference from its head if it differs in at most this share.
 NEAR = 0.2
 
@@ -67,14 +68,14 @@ _BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
 _POWERS = _powers(1 << 16)
 
 
-def _word_hashes(raw: bytes) -> np.ndarray:
-    """A hash of each word's lower-cased bytes."""
+def _hashed_words(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word's lower-cased bytes, and where the words start."""
     data = np.frombuffer(raw, np.uint8)
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
     starts, ends = edge[0::2], edge[1::2]
     if len(starts) == 0:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), starts
     sizes = ends - starts
     values = _BYTE[_LOWER[data]]
     longest = int(sizes.max())
@@ -85,12 +86,12 @@ def _word_hashes(raw: bytes) -> np.ndarray:
     place[space] = 0
     with np.errstate(over="ignore"):
         terms = np.where(space, np.uint64(0), values * powers[place])
-        return mixed(np.add.reduceat(terms, starts) + sizes.astype(np.uint64))
+        return mixed(np.add.reduceat(terms, starts) + sizes.astype(np.uint64)), starts
 
 
 def shingles(raw: bytes, width: int = SHINGLE) -> np.ndarray:
     """The sorted distinct shingle hashes of a text of any length."""
-    words = _word_hashes(raw)
+    words, _ = _hashed_words(raw)
     if len(words) == 0:
         return words
     n = max(1, len(words) - width + 1)
@@ -101,6 +102,42 @@ def shingles(raw: bytes, width: int = SHINGLE) -> np.ndarray:
     return np.unique(found)
 
 
+def shingle_sets(raws: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
+    """``shingles`` of many texts, hashed together in pieces of about ``PIECE`` bytes."""
+    found: list[np.ndarray] = []
+    at = 0
+    while at < len(raws):
+        end, size = at, 0
+        while end < len(raws) and (end == at or size + len(raws[end]) < PIECE):
+            size += len(raws[end])
+            end += 1
+        found += _piece(raws[at:end], width)
+        at = end
+    return found
+
+
+def _piece(raws: list[bytes], width: int) -> list[np.ndarray]:
+    if len(raws) == 1:
+        return [shingles(raws[0], width)]
+    words, starts = _hashed_words(b"\n".join(raws))
+    limits = np.cumsum([len(r) + 1 for r in raws])
+    ends = np.searchsorted(starts, limits)
+    n = max(0, len(words) - width + 1)
+    hashed = np.full(n, width, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            hashed = mixed(hashed * np.uint64(3) + words[k : k + n])
+    found = []
+    for first, end, raw in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), raws):
+        if end - first < width:
+            found.append(shingles(raw, width))
+            continue
+        own = np.sort(hashed[first : end - width + 1])
+        fresh = own[1:] != own[:-1]
+        found.append(own if fresh.all() else own[np.append(True, fresh)])
+    return found
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     """How many first elements of an ordered set of ``n`` a linked set must meet."""
     return n + 1 - -(-percent * n // 100) if n else 0
@@ -132,11 +169,11 @@ def _frequent(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
             return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["s", "n"])
 
         for batch in batches:
-            for raw in set(encoded(batch.column(0))):  # copies count once
-                own = shingles(raw)
+            texts = sorted(set(encoded(batch.column(0))))  # copies count once
+            for own in shingle_sets(texts):
                 waiting.append(own)
                 size += len(own)
-                if size > 1 << 20:
+                if size > COUNTED:
                     yield flush()
                     size = 0
         if waiting:
@@ -181,8 +218,7 @@ def _sets(docs: DataFrame, doc_id: str, text: str, percent: int) -> DataFrame:
         known, counts = shared.value
         for batch in batches:
             sizes, his, los, prefixes = [], [], [], []
-            for raw in encoded(batch.column(2)):
-                own = shingles(raw)
+            for own in shingle_sets(encoded(batch.column(2))):
                 hi, lo = _signature(own)
                 first = _ordered(own, known, counts)[: prefix_length(len(own), percent)]
                 sizes.append(len(own))
@@ -332,75 +368,149 @@ def _bodies(docs: DataFrame, classes: DataFrame, wanted: DataFrame, doc_id: str,
                     keys.append(key)
                     sets.append(own.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sets, pa.binary())],
-                names=["class", "elements"],
+                [
+                    pa.array(keys, pa.int64()),
+                    pa.array([len(e) // 8 for e in sets], pa.int64()),
+                    pa.array(sets, pa.binary()),
+                ],
+                names=["class", "n", "elements"],
             )
 
     return found.select("class", "hi", "lo", "text").mapInArrow(
-        run, "class long, elements binary"
+        run, "class long, n long, elements binary"
     )
 
 
-def _array(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint64)
-
-
-def _overlap(one: np.ndarray, two: np.ndarray) -> int:
-    """Common elements of two sorted sets."""
+def _common(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which elements of ``one`` are in the sorted set ``two``."""
     if len(one) == 0 or len(two) == 0:
-        return 0
+        return np.zeros(len(one), bool)
     at = np.minimum(np.searchsorted(two, one), len(two) - 1)
-    return int((two[at] == one).sum())
+    return two[at] == one
+
+
+def _both(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
+    """``pairs`` (a, b) with ``column`` and ``n`` of both, from ``rows`` (class, n, column)."""
+    for side in ("a", "b"):
+        own = rows.select(
+            F.col("class").alias(side), F.col("n").alias(f"n_{side}"),
+            F.col(column).alias(f"{column}_{side}"),
+        )
+        pairs = pairs.join(own, side)
+    return pairs
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Rows (a, b, lacks, adds) of ``pairs`` that link; the last two where b is near a.
+def _promising(pairs: DataFrame, classes: DataFrame, wanted: DataFrame, percent: int):
+    """``pairs`` whose prefixes leave it open that they link.
 
-    Pairs are grouped by ``a``, in groups of about ``MEMBERS``. A member ``b`` comes as its
-    base and what it lacks and adds; a group gets the sets of ``a`` and of the bases.
+    Of two ordered sets, all common elements up to the end of that prefix which ends first
+    are common to the prefixes; the others are in the rest of its set.
     """
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
-    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / MEMBERS))
-    members = pairs.join(counts, "a").select("a", part.alias("part"), "b")
-    members = stage(
-        members.join(near.withColumnRenamed("class", "b"), "b", "left").select(
-            "a", "part", "b", F.coalesce("base", "b").alias("base"), "lacks", "adds"
-        ),
-        "members",
+    own = classes.select("class", "n", "prefix").join(if_small(wanted), "class", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            names = ("n_a", "n_b", "prefix_a", "prefix_b")
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            sizes_a, sizes_b = (c.to_pylist() for c in columns[:2])
+            for n, m, one, two in zip(sizes_a, sizes_b, columns[2], columns[3]):
+                x, y = one.values.to_numpy(), np.sort(two.values.to_numpy())
+                most = int(_common(x, y).sum()) + max(n - len(x), m - len(y))
+                keep.append((100 + percent) * most >= percent * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _both(pairs, own, "prefix").mapInArrow(run, "a long, b long")
+
+
+def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b, n_a, n_b, common, lacks, adds) of ``pairs``, by the whole sets.
+
+    ``lacks`` and ``adds`` are what b lacks of a, and adds, where they link and are near.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "n_a", "n_b"]
+        for batch in batches:
+            found, lacks, adds = [], [], []
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            bodies = [
+                batch.column(batch.schema.get_field_index(c)).to_pylist()
+                for c in ("elements_a", "elements_b")
+            ]
+            for one, two in zip(*bodies):
+                x, y = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                shared = _common(x, y)
+                n = int(shared.sum())
+                union = len(x) + len(y) - n
+                near = 100 * n >= percent * union and union - n <= NEAR * len(x)
+                found.append(n)
+                lacks.append(x[~shared].tobytes() if near else None)
+                adds.append(y[~_common(y, x)].tobytes() if near else None)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *columns,
+                    pa.array(found, pa.int64()),
+                    pa.array(lacks, pa.binary()),
+                    pa.array(adds, pa.binary()),
+                ],
+                names=[*names, "common", "lacks", "adds"],
+            )
+
+    return _both(pairs, sets, "elements").mapInArrow(
+        run, "a long, b long, n_a long, n_b long, common long, lacks binary, adds binary"
     )
-    needed = (
-        members.select("a", "part", F.explode(F.array("a", "base")).alias("class"))
-        .distinct()
-        .join(sets, "class")
-        .select(F.col("a").alias("to"), F.col("part").alias("in_part"), "class", "elements")
+
+
+def _derived(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (a, b, n_a, n_b, common) of ``pairs`` from the overlaps of a with b's base.
+
+    ``pairs``: a, b, lacks, adds of b towards its base, and n_a, n_base, base_common.
+    """
+    own = sets.select(F.col("class").alias("a"), F.col("elements").alias("elements_a"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            sizes, found = [], []
+            for r in rows:
+                head, less, more = (
+                    np.frombuffer(r[c], np.uint64) for c in ("elements_a", "lacks", "adds")
+                )
+                sizes.append(r["n_base"] - len(less) + len(more))
+                change = int(_common(more, head).sum()) - int(_common(less, head).sum())
+                found.append(r["base_common"] + change)
+            names = ("a", "b", "n_a")
+            kept = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(sizes, pa.int64()), pa.array(found, pa.int64())],
+                names=[*names, "n_b", "common"],
+            )
+
+    return pairs.join(own, "a").mapInArrow(
+        run, "a long, b long, n_a long, n_b long, common long"
     )
 
-    def check(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        known = {k: _array(e) for k, e in zip(two["class"], two["elements"])}
-        bases: dict[int, int] = {}
-        found = []
-        for a, b, base, lacks, adds in zip(
-            one["a"], one["b"], one["base"], one["lacks"], one["adds"]
-        ):
-            head, body = known[a], known[base]
-            if base not in bases:
-                bases[base] = _overlap(body, head)
-            common, size = bases[base], len(body)
-            if lacks is not None and base != b:
-                less, more = _array(lacks), _array(adds)
-                common += _overlap(more, head) - _overlap(less, head)
-                size += len(more) - len(less)
-            if 100 * common < percent * (size + len(head) - common):
-                continue
-            less = more = None
-            if base == b and size + len(head) - 2 * common <= NEAR * len(head):
-                less = np.setdiff1d(head, body, assume_unique=True).tobytes()
-                more = np.setdiff1d(body, head, assume_unique=True).tobytes()
-            found.append((a, b, less, more))
-        return pd.DataFrame(found, columns=["a", "b", "lacks", "adds"])
 
-    grouped = members.groupBy("a", "part").cogroup(needed.groupBy("to", "in_part"))
-    return grouped.applyInPandas(check, "a long, b long, lacks binary, adds binary")
+def _checked(pairs: DataFrame, sets: DataFrame, near: DataFrame | None, percent: int):
+    """Rows (a, b, lacks, adds) of ``pairs`` that link."""
+    linked = f"100 * common >= {percent} * (n_a + n_b - common)"
+    if near is None:
+        return _overlaps(pairs, sets, percent).filter(linked).select("a", "b", "lacks", "adds")
+    based = pairs.join(near.withColumnRenamed("class", "b"), "b", "left")
+    based = stage(based.withColumn("base", F.coalesce("base", "b")), "based")
+    whole = based.select("a", F.col("base").alias("b")).filter("a <> b").distinct()
+    whole = stage(_overlaps(whole, sets, percent).drop("lacks", "adds"), "overlaps")
+    # Where the base is the head itself, the pair was checked when the base was found.
+    known = whole.select(
+        "a", F.col("b").alias("base"), "n_a", F.col("n_b").alias("n_base"),
+        F.col("common").alias("base_common"),
+    )
+    derived = based.filter("base <> b").join(known, ["a", "base"])
+    direct = whole.join(based.filter("base = b").select("a", "b"), ["a", "b"], "left_semi")
+    found = direct.select("a", "b", "n_a", "n_b", "common").unionByName(_derived(derived, sets))
+    nothing = F.lit(None).cast("binary")
+    return found.filter(linked).select("a", "b", nothing.alias("lacks"), nothing.alias("adds"))
 
 
 def join(
@@ -425,8 +535,7 @@ def join(
     )
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     lists = stage(_lists(classes), "lists")
-    links, roots, sets = None, None, None
-    near = spark.createDataFrame([], "class long, base long, lacks binary, adds binary")
+    links = roots = sets = near = tested = None
     for number in range(rounds + 1):
         if roots is None:
             placed = lists.withColumn("root", F.col("class"))
@@ -434,20 +543,28 @@ def join(
             placed = lists.join(if_small(roots), lists["class"] == F.col("node"), "left")
             placed = placed.withColumn("root", F.coalesce("root", "class")).drop("node")
         find = _head_pairs if number < rounds else _left_pairs
-        pairs = stage(find(placed, percent, number), "pairs")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets, "class", "left_anti")
-        wanted = stage(wanted, "wanted")
-        if wanted.limit(1).count():
-            more = stage(_bodies(docs, classes, wanted, doc_id, text), "bodies")
-            sets = more if sets is None else sets.unionByName(more)
+        pairs = find(placed, percent, number)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            other = tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
+            pairs = pairs.join(other, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        pairs = stage(_promising(pairs, classes, _members(pairs), percent), "promising")
         if not pairs.limit(1).count():
             continue
+        wanted = _members(pairs)
+        if near is not None:  # a set near its base is not needed as a member
+            based = pairs.join(near.withColumnRenamed("class", "b"), "b", "left")
+            wanted = _members(based.select("a", F.coalesce("base", "b").alias("b")))
+        if sets is not None:
+            wanted = wanted.join(sets, "class", "left_anti")
+        more = stage(_bodies(docs, classes, stage(wanted, "wanted"), doc_id, text), "bodies")
+        sets = more if sets is None else sets.unionByName(more)
         found = stage(_checked(pairs, sets, near, percent), "links")
         own = found.select("a", "b")
         links = own if links is None else links.unionByName(own)
-        if number == 0:
+        if near is None:
             near = stage(
                 found.filter("lacks IS NOT NULL")
                 .groupBy(F.col("b").alias("class"))
@@ -459,6 +576,10 @@ def join(
     return _labelled(rows, classes, roots)
 
 
+def _members(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+
+
 def _labelled(rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Each row with the smallest id of its class's component."""
     labels = classes.select("class", "hi", "lo", "n", "label")
