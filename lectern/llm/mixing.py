@@ -14,7 +14,8 @@ array is longer than ``BLOCK``, however large a source is.
 
 Large documents are settled first (those above their source's mean size, then those above
 the mean of the rest); the fractions of the others are set to what then remains of the
-target. So a source misses its target by a small document.
+target. So a source usually misses its target by a small document, and where large ones
+are most of its words, by one of those.
 
 Chance is a hash of the seed, the round and the rows' ranks, so reruns agree.
 
