@@ -611,6 +611,23 @@ def test_e8_points_are_the_nearest_of_the_lattice():
         assert (((x - (points + shift) / 2) ** 2).sum(axis=1) >= own - 1e-9).all()
 
 
+@pytest.mark.parametrize("size", [4, 16, 64, 768])
+def test_recall_does_not_depend_on_the_number_of_components(size):
+    rng = np.random.default_rng(size)
+
+    def meet(cosine):
+        one, two = rng.standard_normal((2, 2_000, size))
+        one /= np.linalg.norm(one, axis=1, keepdims=True)
+        two -= (one * two).sum(axis=1, keepdims=True) * one
+        two /= np.linalg.norm(two, axis=1, keepdims=True)
+        two = cosine * one + (1 - cosine**2) ** 0.5 * two
+        a, b = (lattice.cells(x, 5, lattice.TABLES, lattice.WIDTH) for x in (one, two))
+        return (a[..., None] == b[..., None, :]).any(axis=(1, 2, 3)).mean()
+
+    assert meet(0.9) >= 0.95
+    assert meet(0.0) <= 0.01
+
+
 def test_near_duplicates_by_brute_force(spark):
     rng = np.random.default_rng(9)
     base = rng.standard_normal((40, 64))
