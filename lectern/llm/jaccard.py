@@ -26,6 +26,14 @@ integers: ``100 * intersection >= PERCENT * union``.
    Its overlap with another set is the head's overlap, computed once, less what it lacks
    and plus what it adds; its own set is not shipped again.
 
+``count_links`` also counts every link, in a second pass over the linked sets:
+
+6. Sets so near to a hub of their component that any two of them link form a group, which
+   is one entry of the index. Groups of one component meet by shingle and by a band of
+   sizes; an entry meets only the bands that its position leaves open. Their heads'
+   overlap settles all pairs of two groups at once where what members lack and add can't
+   change it; where it can, pairs of members are checked by their whole sets.
+
 Copies, ties and repeated rows link as their sets do. The result has a row per input row.
 """
 
@@ -46,6 +54,10 @@ SHINGLE, PERCENT = 5, 80
 FREQUENT = 1 << 17
 #: Rounds that compare lists with their heads before what is left is compared in pairs.
 ROUNDS = 2
+#: Hubs per component that sets may group around when links are counted.
+HUBS = 3
+#: Bands of sizes per factor of 100 / PERCENT in which groups meet.
+BANDS = 4
 # Bytes of text and shingles that are worked on at once.
 PIECE, COUNTED = 1 << 19, 1 << 21
 # A set is kept as a difference from its head if it differs in at most this share.
@@ -524,14 +536,41 @@ def join(
 
     ``component_id`` is the smallest id reachable by links, the own one included.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text))
+    rows, classes, _, _, roots = _linked(docs, doc_id, text, percent, rounds)
+    return _labelled(rows, classes, roots)
+
+
+def count_links(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    percent: int = PERCENT,
+    rounds: int = ROUNDS,
+) -> DataFrame:
+    """``join`` with ``n_links``: how many other rows a row's set links with, all counted."""
+    docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text))
+    rows, classes, lists, links, roots = _linked(docs, doc_id, text, percent, rounds)
+    counts = classes.select("class", F.lit(0).alias("more")).limit(0)
+    if links is not None:
+        groups, sets = _groups(docs, classes, links, roots, percent, doc_id, text)
+        counts = _counted(classes, lists, groups, sets, percent)
+    n_links = F.coalesce("more", F.col("copies") - 1)
+    counts = classes.join(counts, "class", "left").select(
+        "hi", "lo", F.when(F.col("n") > 0, n_links).otherwise(0).cast("long").alias("n_links")
+    )
+    return _labelled(rows, classes, roots, counts)
+
+
+def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, rounds: int) -> tuple:
+    """The sets' rows, their classes, the index, links that join components, and roots."""
+    small_batches(docs.sparkSession)
     rows = stage(_sets(docs, doc_id, text, percent), "sets")
     classes = rows.groupBy("hi", "lo", "n").agg(
         F.min("doc_id").alias("label"),
         F.min(F.struct("doc_id", "text_hash")).alias("one"),
         F.first("prefix").alias("prefix"),
+        F.count(F.lit(1)).alias("copies"),
     )
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     lists = stage(_lists(classes), "lists")
@@ -573,15 +612,169 @@ def join(
                 "near",
             )
         roots = components(links)
-    return _labelled(rows, classes, roots)
+    return rows, classes, lists, links, roots
+
+
+def _groups(
+    docs: DataFrame, classes: DataFrame, links: DataFrame, roots: DataFrame, percent: int,
+    doc_id: str, text: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (class, root, head, n, copies, sure, out) of all classes with links; their sets.
+
+    Two classes whose sets' heads have ``k`` elements in common link if the sum of their
+    ``sure`` is at most (100 + percent) * k, and don't if that of their ``out`` is more.
+    Any two classes of one head link.
+    """
+    degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").count()
+    placed = degrees.join(roots, degrees["class"] == F.col("node"), "left").select(
+        "class", "count", F.coalesce("root", "class").alias("root")
+    )
+    placed = placed.join(classes.select("class", "n", "copies"), "class")
+    placed = left = stage(placed, "placed")
+    sets = _bodies(docs, classes, placed.select("class"), doc_id, text)
+    sets = stage(sets.dropDuplicates(["class"]), "linked_sets")  # repeated rows have one
+    members = None
+    for _ in range(HUBS):
+        hubs = left.groupBy("root").agg(
+            F.max_by(F.struct("class", "n"), F.struct("count", "class")).alias("hub"),
+            F.count(F.lit(1)).alias("size"),
+        )
+        hubs = hubs.filter("size > 2").select(
+            "root", F.col("hub.class").alias("a"), F.col("hub.n").alias("of_n")
+        )
+        hubs = stage(hubs, "hubs")
+        if not hubs.limit(1).count():
+            break
+        pairs = left.join(if_small(hubs), "root").filter(
+            f"class <> a AND 100 * least(n, of_n) >= {percent} * greatest(n, of_n)"
+        )
+        found = _overlaps(pairs.select("a", F.col("class").alias("b")), sets, percent)
+        found = found.select(
+            F.col("b").alias("class"), F.col("a").alias("head"), "n_a",
+            (F.col("n_a") - F.col("common")).alias("lacks"),
+            (F.col("n_b") - F.col("common")).alias("adds"),
+        ).filter(f"2 * (100 * lacks + {percent} * adds) <= {100 - percent} * n_a").drop("n_a")
+        own = hubs.select(
+            F.col("a").alias("class"), F.col("a").alias("head"),
+            F.lit(0).cast("long").alias("lacks"), F.lit(0).cast("long").alias("adds"),
+        )
+        found = stage(found.unionByName(own), "near_hubs")
+        members = found if members is None else members.unionByName(found)
+        left = stage(left.join(found, "class", "left_anti"), "left")
+    if members is None:
+        placed = placed.withColumns({"head": F.col("class"), "lacks": F.lit(0), "adds": F.lit(0)})
+    else:
+        placed = placed.join(members, "class", "left")
+    groups = placed.select(
+        "class", "root", F.coalesce("head", "class").alias("head"), "n", "copies",
+        F.expr(f"{100 + percent} * coalesce(lacks, 0) + {percent} * n").alias("sure"),
+        F.expr(f"{percent} * n - {100 + percent} * coalesce(adds, 0)").alias("out"),
+    )
+    return stage(groups, "groups"), sets
+
+
+def _group_pairs(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of heads whose groups have members that may link.
+
+    ``cap`` is the largest set that an entry's position lets it link with.
+    """
+
+    def band(n: str):
+        return F.floor(F.log(F.col(n)) * BANDS / F.log(F.lit(100 / min(percent, 99)))).cast("int")
+
+    entries = lists.join(groups.select("class", "root", "head"), "class").withColumn(
+        "cap", F.expr(f"(100 * n - {100 + percent} * pos) div {percent}")
+    )
+    entries = stage(entries.withColumn("band", band("n")).filter("cap > 0"), "linked_lists")
+    key = ["token", "root", "band"]
+    reach = [F.min("n").alias("n"), F.max("cap").alias("cap")]
+    one = entries.groupBy(*key, F.col("head").alias("a")).agg(*reach)
+    two = entries.filter("cap >= n").withColumn(
+        "band", F.explode(F.sequence(F.col("band"), band("cap")))
+    )
+    two = two.groupBy(*key, F.col("head").alias("b")).agg(*reach)
+    two = two.withColumnsRenamed({"n": "b_n", "cap": "b_cap"})
+    met = one.join(two, key).filter("a <> b AND b_n <= cap AND n <= b_cap")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _counted(
+    classes: DataFrame, lists: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
+) -> DataFrame:
+    """Rows (class, more): the other rows that each class with links links with."""
+    whole = groups.groupBy("head").agg(
+        F.sum("copies").alias("docs"), F.max("sure").alias("sure"), F.min("out").alias("out"),
+        F.count(F.lit(1)).alias("size"),
+    )
+    whole = stage(whole, "wholes")
+
+    def with_ends(pairs: DataFrame, of: DataFrame, name: str, ends=("a", "b")) -> DataFrame:
+        for end in ends:
+            columns = [F.col(c).alias(f"{c}_{end}") for c in of.columns if c != name]
+            pairs = pairs.join(of.select(F.col(name).alias(end), *columns), end)
+        return pairs
+
+    pairs = with_ends(_group_pairs(lists, groups, percent), whole.select("head", "size"), "head")
+    pairs = stage(pairs, "group_pairs")
+    alone = pairs.filter("size_a = 1 AND size_b = 1").select("a", "b")
+    pairs = _promising(alone, classes, _members(alone), percent).unionByName(
+        pairs.filter("size_a > 1 OR size_b > 1").select("a", "b")
+    )
+    met = _overlaps(pairs, sets, percent).select(
+        "a", "b", (F.col("common") * (100 + percent)).alias("k")
+    )
+    met = stage(with_ends(met, whole, "head").filter("out_a + out_b <= k"), "groups_met")
+    settled = met.filter("sure_a + sure_b <= k")
+
+    def both_ways(found: DataFrame, size: str, name: str) -> DataFrame:
+        return found.select(F.col("a").alias(name), F.col(f"{size}_b").alias("n")).unionByName(
+            found.select(F.col("b").alias(name), F.col(f"{size}_a").alias("n"))
+        ).groupBy(name).agg(F.sum("n").alias(f"of_{name}"))
+
+    own = groups.select("head", "class", "copies", "sure", "out")
+    opened = met.filter("sure_a + sure_b > k").select("a", "b", "k", "out_b")
+    for end in ("a", "b"):
+        side = own.select(
+            F.col("head").alias(end), F.col("class").alias(f"class_{end}"),
+            F.col("copies").alias(f"copies_{end}"), F.col("sure").alias(f"sure_{end}"),
+            F.col("out").alias(f"own_{end}"),
+        )
+        opened = opened.join(side, end)
+        opened = opened.filter("own_a + out_b <= k" if end == "a" else "own_a + own_b <= k")
+    opened = stage(
+        opened.select(
+            F.col("class_a").alias("a"), F.col("class_b").alias("b"), "copies_a", "copies_b",
+            (F.col("sure_a") + F.col("sure_b") <= F.col("k")).alias("sure"),
+        ),
+        "opened",
+    )
+    unsure = opened.filter("NOT sure")
+    exact = _overlaps(unsure.select("a", "b"), sets, percent).filter(
+        f"100 * common >= {percent} * (n_a + n_b - common)"
+    )
+    single = opened.filter("sure").unionByName(
+        unsure.join(exact.select("a", "b"), ["a", "b"], "left_semi")
+    )
+    return (
+        groups.select("class", "head")
+        .join(whole.select("head", "docs"), "head")
+        .join(both_ways(settled, "docs", "head"), "head", "left")
+        .join(both_ways(single, "copies", "class"), "class", "left")
+        .select(
+            "class",
+            F.expr("docs - 1 + coalesce(of_head, 0) + coalesce(of_class, 0)").alias("more"),
+        )
+    )
 
 
 def _members(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
 
 
-def _labelled(rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Each row with the smallest id of its class's component."""
+def _labelled(
+    rows: DataFrame, classes: DataFrame, roots: DataFrame | None, counts: DataFrame | None = None
+) -> DataFrame:
+    """Each row with the smallest id of its class's component, and its class's ``counts``."""
     labels = classes.select("class", "hi", "lo", "n", "label")
     if roots is not None:
         labels = labels.join(roots, labels["class"] == F.col("node"), "left").select(
@@ -592,8 +785,11 @@ def _labelled(rows: DataFrame, classes: DataFrame, roots: DataFrame | None) -> D
     else:
         labels = labels.withColumn("component", F.col("label"))
     labels = labels.select("hi", "lo", F.col("n").alias("of_n"), "component")
+    if counts is not None:
+        labels = labels.join(counts, ["hi", "lo"])
     found = rows.select("doc_id", "n", "hi", "lo").join(labels, ["hi", "lo"])
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return found.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        *([] if counts is None else ["n_links"]),
     )

@@ -72,7 +72,7 @@ def op2_token_attribution(spark, sf_dir):
 
 
 def op3_jaccard_join(spark, sf_dir):
-    return jaccard.join(read(spark, sf_dir, "documents"))
+    return jaccard.count_links(read(spark, sf_dir, "documents"))
 
 
 def op4_pivotal_mixing(spark, sf_dir):

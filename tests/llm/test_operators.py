@@ -337,6 +337,33 @@ def test_jaccard_components_by_brute_force(spark, seed, rounds):
     assert sorted(map(tuple, got)) == sorted(brute_components(rows))
 
 
+@pytest.mark.parametrize("hubs", [3, 0])
+def test_jaccard_counts_every_link(spark, odd, empty, monkeypatch, hubs):
+    monkeypatch.setattr(jaccard, "HUBS", hubs)
+    rng = np.random.default_rng(4)
+    rows, base = near_copies(3), [f"v{i}" for i in range(500)]
+    for i in range(60):  # near copies, most of which link with one another
+        text = list(base)
+        for at in rng.integers(0, len(text), rng.integers(0, 12)):
+            text[at] = f"x{rng.integers(0, 50)}"
+        rows += [(1000 + 2 * i, " ".join(text))] * (1 + i % 2)
+    sets = [set(zip(*[t.lower().split()[k:] for k in range(5)])) for _, t in rows]
+    sets = [s or {t} for s, (_, t) in zip(sets, rows)]
+    want = collections.Counter()
+    for i, j in itertools.permutations(range(len(rows)), 2):
+        n = len(sets[i] & sets[j])
+        want[rows[i][0]] += 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = jaccard.count_links(docs).collect()
+    assert len(got) == len(rows) and sum(want.values()) > 5_000
+    copies = collections.Counter(key for key, _ in rows)
+    assert all(r.n_links == want[r.doc_id] / copies[r.doc_id] for r in got)
+    assert sorted(r[:3] for r in got) == sorted(brute_components(rows))
+    found = collections.Counter(r.n_links for r in jaccard.count_links(odd).collect())
+    assert found == {2: 3, 0: odd.count() - 3}
+    assert jaccard.count_links(empty).count() == 0
+
+
 def test_jaccard_on_odd_rows(odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
 
