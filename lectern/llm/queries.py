@@ -40,6 +40,7 @@ TOOLS = [
 
 
 def op1_tool_calls(spark, sf_dir):
+    """Linked calls, and a row of status ``other role`` for each turn of any other role."""
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     number = F.col("turn").cast("string")
     parent = F.when(F.col("turn") == 1, 0).when(F.col("turn") > 1, F.col("turn") - 2)
@@ -61,6 +62,17 @@ def op1_tool_calls(spark, sf_dir):
         F.col("text").alias("content"),
     )
     linked = toolcalls.link(calls, results, spark.createDataFrame(TOOLS, toolcalls.SCHEMA))
+    others = turns.filter("coalesce(role, '') NOT IN ('user', 'system', 'assistant')").select(
+        "conv_id", "turn",
+        F.lit(0).cast("long").alias("n_calls"), F.lit(0).cast("long").alias("n_results"),
+        F.lit("other role").alias("status"),
+        F.array(F.concat(F.lit("role "), toolcalls.json_string(F.col("role")))).alias("errors"),
+        F.concat(
+            F.lit('{"content":'), toolcalls.json_string(F.col("text")),
+            F.lit(',"role":'), toolcalls.json_string(F.col("role")), F.lit("}"),
+        ).alias("message"),
+    )
+    linked = linked.unionByName(others, allowMissingColumns=True)
     return linked.withColumn("errors", F.array_join("errors", "; "))
 
 

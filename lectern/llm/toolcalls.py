@@ -14,8 +14,9 @@
 * ``message`` is canonical JSON: keys in order of code points, no white space, numbers in
   their shortest form. Arguments that are no JSON are kept as a string.
 
-Calls without a conversation or an identifier can't be linked: they are rows of their own,
-each with the error ``no identifier``. Nothing here runs Python on rows.
+Calls and results without a conversation or an identifier can't be linked: they are rows of
+their own, each with the error ``no identifier``; such results have status ``no call``.
+Nothing here runs Python on rows.
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def json_string(text: Column) -> Column:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
-    """One row per call, and per result without a call.
+    """One row per call, and per result without a call; see above for missing identifiers.
 
     ``calls``: conv_id, call_id, turn, tool, arguments (JSON text), after (array of the
     call_ids it builds on). ``results``: conv_id, call_id, turn, content.
@@ -193,8 +194,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         .select("conv_id", "call_id", "key", "call.*", "n_calls")
     )
     once = stage(once, "calls")
+    identified = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     answers = (
-        results.filter(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
+        results.filter(identified)
         .groupBy("conv_id", "call_id")
         .agg(
             F.min(F.struct("turn", "content")).alias("result"),
@@ -215,15 +217,19 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
         "conv_id", "call_id", *content, F.lit(1).cast("long").alias("n_calls"),
         F.lit(-1).alias("level"), F.lit(None).cast("long").alias("position"),
     )
-    checked = problems(placed.unionByName(loose), schemas)
-    identified = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    checked = checked.withColumn(
-        "errors",
-        F.when(identified, F.col("errors")).otherwise(
-            F.concat(F.array(F.lit("no identifier")), F.col("errors"))
-        ),
+    unnamed = F.array(F.lit("no identifier"))
+    # Rows without an identifier stay out of the join, where they would share one key.
+    alone = problems(loose, schemas).withColumn("errors", F.concat(unnamed, "errors"))
+    lost = results.filter(~identified).select(
+        "conv_id", "call_id", F.col("turn").alias("result_turn"), "content",
+        F.lit(1).cast("long").alias("n_results"), unnamed.alias("errors"),
+    )
+    joined = (
+        problems(placed, schemas)
+        .join(answers, ["conv_id", "call_id"], "full")
+        .unionByName(alone, allowMissingColumns=True)
+        .unionByName(lost, allowMissingColumns=True)
     )
-    joined = checked.join(answers, ["conv_id", "call_id"], "full")
     status = (
         F.when(F.col("n_calls").isNull(), "no call")
         .when(F.col("n_results").isNull(), "no result")

@@ -617,6 +617,25 @@ def test_linking_validation_and_canonical_json(spark):
     assert toolcalls.link(*none).count() == 0
 
 
+def test_results_without_an_identifier_are_rows(spark):
+    calls = spark.createDataFrame(
+        [(1, "a", 1, "t", "{}", []), (None, "a", 1, "t", "{}", [])],
+        "conv_id long, call_id string, turn long, tool string, arguments string,"
+        " after array<string>",
+    )
+    results = [(1, "a", 2, "p"), (None, "a", 2, "q"), (1, None, 3, "r"), (None, None, None, "r")]
+    results = spark.createDataFrame(
+        results, "conv_id long, call_id string, turn long, content string"
+    )
+    schemas = spark.createDataFrame([("t", "x", "string", False, 1)], toolcalls.SCHEMA)
+    got = toolcalls.link(calls, results, schemas).collect()
+    assert sorted(r.status for r in got) == ["linked"] + ["no call"] * 3 + ["no result"]
+    lost = [r for r in got if r.status == "no call"]
+    assert sorted(json.loads(r.message)["result"] for r in lost) == ["q", "r", "r"]
+    for r in lost:
+        assert (r.n_calls, r.n_results, r.errors) == (0, 1, ["no identifier"])
+
+
 # Lattice
 
 

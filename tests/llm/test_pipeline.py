@@ -51,6 +51,20 @@ def test_tool_calls_equal_their_sql(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
 
 
+def test_tool_calls_lose_no_turn(spark, tmp_path):
+    turns = [
+        (1, 1, "user", "a"), (1, 2, "assistant", "b"), (None, 4, "assistant", "c"),
+        (1, None, "assistant", "d"), (1, 5, "tool", "e"), (None, None, None, "f"),
+    ]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = entry.queries()["op1_tool_calls"](spark, str(tmp_path)).collect()
+    assert all(any(f'"{t[3]}"' in r.message for r in got) for t in turns)
+    assert collections.Counter(r.status for r in got) == {
+        "linked": 1, "no call": 2, "other role": 2
+    }
+
+
 def test_jaccard_query(spark, docs):
     got = run(spark, "op3_jaccard_join")
     want = brute_components(list(zip(docs.doc_id.tolist(), docs.text.tolist())))
