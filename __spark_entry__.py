@@ -30,6 +30,7 @@ from lectern.plans.similar import (
     neighbours,
     similar_courses,
     similar_text_pairs,
+    text_members,
 )
 from lectern.plans.suggest import suggest_for_all
 from lectern.schema import COURSE
@@ -248,6 +249,11 @@ def similar_pairs_exact(spark, sf_dir):
     return pairs.withColumn("score", F.round("score", 6))
 
 
+def similar_pairs_members(spark, sf_dir):
+    """Which courses the texts of the similar pairs stand for."""
+    return text_members(V.courses(spark, sf_dir))
+
+
 def top5_similar(spark, sf_dir):
     near = neighbours(_similarity(spark, sf_dir, rebuild=True))
     return near.withColumn("score", F.round("score", 6))
@@ -348,6 +354,7 @@ def own_queries() -> dict[str, Query]:
         "merge_upsert": merge_upsert,
         "term_weights": term_weights,
         "similar_pairs_exact": similar_pairs_exact,
+        "similar_pairs_members": similar_pairs_members,
         "top5_similar": top5_similar,
         "similar_courses": similar_to_course,
         "suggestions_user": suggestions_user,
@@ -567,6 +574,9 @@ def own_oracle_sql() -> dict[str, str]:
                    b.copies AS copies_b, round(score, 6) AS score
             FROM scores s JOIN texts a ON a._id = s._id
             JOIN texts b ON b._id = s.similar_doc_id""",
+        "similar_pairs_members": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}, {_TEXTS_SQL}
+            SELECT c._id, t._id AS id, copies, t._id IN (SELECT _id FROM unit) AS weighted
+            FROM courses c JOIN texts t ON t.text IS NOT DISTINCT FROM lower(c.description)""",
         "top5_similar": _on_similarity(
             "SELECT _id, rank, similar_doc_id, round(score, 6) AS score FROM top5"
         ),
