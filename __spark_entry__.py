@@ -6,7 +6,9 @@ Queries that are not expressible in SQL (random projections, k-means) have no tw
 from __future__ import annotations
 
 import datetime
+import importlib
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +41,20 @@ from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
 from lectern.streaming.sync import sync_available_now
 
-try:
-    from lectern.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("lectern.llm", "lectern.llm.queries", "corpus_pipeline"):
-        raise
-    llm = None
+
+
+def _if_there(module: str, *absent: str) -> ModuleType | None:
+    """``module``, or None if it or one of ``absent`` was taken out of the repository."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as missing:
+        if missing.name not in (module, *absent):
+            raise
+        return None
+
+
+llm = _if_there("lectern.llm.queries", "lectern.llm")
+pipeline = _if_there("corpus_pipeline") if llm else None
 
 AS_OF = datetime.datetime(2024, 1, 1)
 COURSE_ID = "104"
@@ -322,7 +332,8 @@ def sync_two_folders(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     """One entry per operator or composite query, and those of ``llm`` where it is there."""
-    return own_queries() | (llm.queries() if llm else {})
+    found = own_queries() | (llm.queries() if llm else {})
+    return found | ({"pipeline": pipeline.run} if pipeline else {})
 
 
 def own_queries() -> dict[str, Query]:
