@@ -24,6 +24,8 @@ from sentencepiece import sentencepiece_model_pb2 as spm
 
 from lectern.llm.common import append_columns
 
+#: The rank file that the queries and the pipeline use, of those in the tokenizer folder.
+RANKS = "byte_bpe_50k.tiktoken"
 # Encoded pre-tokens that a worker remembers.
 REMEMBERED = 200_000
 UNKNOWN = "<unk>"

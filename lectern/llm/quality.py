@@ -29,6 +29,8 @@ WIDTH, FILTERS, STEP, HIDDEN = 6, 24, 128, 8
 FIT_ROWS = 4_000
 #: Bytes of each of them, in one stretch that starts at a place picked by a hash.
 FIT_BYTES = 4_096
+#: Documents with at least this probability of label 1 count as good.
+LEAST_QUALITY = 0.3
 #: Steps of gradient descent, so that few labelled rows are gone over more often.
 STEPS, RATE, BATCH = 800, 0.01, 64
 # Bytes whose responses are held at once.

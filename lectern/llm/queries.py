@@ -8,21 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from corpus_pipeline import LEAST_QUALITY, RANKS
 from lectern.llm import (
     attribution,
+    audit,
     bpe,
     imatch,
     jaccard,
     language,
     lattice,
+    linededup,
     mixing,
     quality,
+    search,
     sharding,
     toolcalls,
 )
+from lectern.llm.bpe import RANKS
 from lectern.llm.common import fold, read
+from lectern.llm.quality import LEAST_QUALITY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +159,22 @@ def op10_e8_lattice(spark, sf_dir):
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_term_pipeline(spark, sf_dir):
+    return search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_line_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = linededup.kept_text(F.col("text"), F.col("keep"))
+    return linededup.keep_bitmaps(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256")
+    )
+
+
+def op13_filter_audit(spark, sf_dir):
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_tool_calls": op1_tool_calls,
@@ -168,7 +187,9 @@ def queries() -> dict[str, Query]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_language_nb": op9_language_nb,
         "op10_e8_lattice": op10_e8_lattice,
-        "pipeline": corpus_pipeline.run,
+        "op11_term_pipeline": op11_term_pipeline,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -214,5 +235,109 @@ SELECT conv_id, call_id, turn, tool, level, position, result_turn,
 FROM placed FULL JOIN results USING (conv_id, call_id)"""
 
 
+_SEARCH_SQL = r"""
+WITH item_terms AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark WHERE item_id IS NOT NULL)
+    GROUP BY item_id, term),
+terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+entries AS (
+    SELECT doc_id, term, count(*) AS tf FROM terms
+    WHERE term IN (SELECT term FROM item_terms) GROUP BY doc_id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * (SELECT docs FROM totals) + 2)
+                                      / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM entries GROUP BY term),
+gains AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (
+        75 + (25 * n * (SELECT docs FROM totals)) // (SELECT words FROM totals)))) AS gain
+    FROM entries JOIN weights USING (term) JOIN sizes USING (doc_id)),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(times * gain) AS BIGINT) AS score
+    FROM item_terms JOIN gains USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scores WHERE score > 0)
+WHERE rank <= 20"""
+
+_LINES_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(line) AS line, generate_subscripts(line, 1) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS line FROM documents)),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+marked AS (
+    SELECT *, length(key) >= 10 AND doc_id > min(doc_id) OVER (PARTITION BY key) AS dropped
+    FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), ''))
+         AS kept_sha256
+FROM marked GROUP BY doc_id"""
+
+_AUDIT_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+words AS (
+    SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM docs),
+failing AS (
+    SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+           CAST(len(w) < 100 AS INTEGER)
+           + 2 * CAST(100 * len(list_distinct(w)) < 80 * len(w) AS INTEGER)
+           + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g'))
+                      > 10 * length(text) AS INTEGER)
+           + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+           + 16 * CAST(words.doc_id > min(words.doc_id) OVER (PARTITION BY text) AS INTEGER)
+             AS mask
+    FROM words LEFT JOIN labels ON labels.doc_id = words.doc_id),
+counted AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good,
+           count(*) FILTER (toxic) AS toxic
+    FROM failing GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+    SELECT filter_order, step, substring(filter_order, step, 1) AS f
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+bits AS (
+    SELECT s.filter_order, s.step, s.f, CAST(1 << (ascii(s.f) - 65) AS INTEGER) AS bit,
+           CAST(coalesce(sum(1 << (ascii(p.f) - 65)), 0) AS INTEGER) AS before
+    FROM steps s LEFT JOIN steps p ON p.filter_order = s.filter_order AND p.step < s.step
+    GROUP BY s.filter_order, s.step, s.f),
+found AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS removed,
+           coalesce(sum(n) FILTER (mask & bit > 0 AND mask & before > 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+           coalesce(sum(good) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS good_lost,
+           coalesce(sum(toxic) FILTER (mask & bit > 0 AND mask & before = 0), 0) AS toxic_lost
+    FROM counted, bits GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+       CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM found"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_tool_calls": _TOOL_CALLS_SQL}
+    return {
+        "op1_tool_calls": _TOOL_CALLS_SQL,
+        "op11_term_pipeline": _SEARCH_SQL,
+        "op12_line_dedup": _LINES_SQL,
+        "op13_filter_audit": _AUDIT_SQL,
+    }
