@@ -16,7 +16,8 @@ theirs.
    that keeps the key, and rows of other documents are dropped lines.
 4. The positions of a document's dropped lines become its bitmap of kept lines in run-length
    form: ``keep``, an array of runs (first line, number of lines) in order. A document that
-   loses nothing has one run.
+   loses nothing has one run. The lists are broadcast to the texts while they are small;
+   beyond ``BROADCAST_BYTES`` texts and lists are shuffled.
 
 Rows are told apart by id and text. Rows of one id are one document: none of them makes
 another one lose a line. Rows without an id are one document that comes after all others.
@@ -37,6 +38,8 @@ LEAST = 10
 #: A key is hot if it has more than this part of all lines, and HOT_LINES at least.
 HOT_SHARE = 10_000
 HOT_LINES = 100
+#: Size of all lists of dropped lines up to which they are broadcast to where the texts are.
+BROADCAST_BYTES = 32 << 20
 #: Keys that the sketch follows; its error is about 3.5 / TRACKED of all lines.
 TRACKED = 1 << 16
 #: What is stripped, and the letters that are lower-cased.
@@ -110,6 +113,7 @@ def keep_bitmaps(
     least: int = LEAST,
     hot_share: int = HOT_SHARE,
     hot_lines: int = HOT_LINES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``docs`` with n_lines, n_dropped (long) and ``keep``, the runs of lines that stay."""
     rows = docs.select(
@@ -118,13 +122,13 @@ def keep_bitmaps(
     lines = stage(_keyed(rows, least), "line_keys")
     dropped = _dropped(lines, _hot_keys(lines, hot_share, hot_lines))
     lost = dropped.groupBy("id", "of").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
-    lost = lost.select(*[F.col(c).alias(f"__{c}") for c in ("id", "of", "gone")])
+    lost = stage(lost.select(*[F.col(c).alias(f"__{c}") for c in ("id", "of", "gone")]), "dropped")
+    size = lost.agg(F.sum(F.size("__gone") * F.lit(4) + F.lit(64))).first()[0] or 0
     rest = [c for c in docs.columns if c.lower() not in MADE]
     same = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__of"))
-    # Texts are shuffled, not sorted: a task builds its table from the lists of positions.
-    joined = docs.select(*[F.col(f"`{c}`") for c in rest]).join(
-        lost.hint("shuffle_hash"), same, "left"
-    )
+    # Few lists go to the texts. Many meet them by a shuffle that doesn't sort the texts.
+    lost = F.broadcast(lost) if size <= broadcast_bytes else lost.hint("shuffle_hash")
+    joined = docs.select(*[F.col(f"`{c}`") for c in rest]).join(lost, same, "left")
     gone = F.coalesce("__gone", F.array().cast("array<int>"))
     value = F.coalesce(F.col(text), F.lit(""))
     feeds = F.octet_length(value) - F.octet_length(F.replace(value, F.lit("\n"), F.lit("")))

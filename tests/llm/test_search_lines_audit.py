@@ -81,10 +81,12 @@ def by_value(rows):
     return sorted(rows, key=repr)
 
 
-@pytest.mark.parametrize("hot_lines", [1, 10**9])
-def test_lines_by_brute_force(docs, hot_lines):
+@pytest.mark.parametrize("hot_lines, broadcast_bytes", [(1, 1 << 20), (10**9, 0)])
+def test_lines_by_brute_force(docs, hot_lines, broadcast_bytes):
     """All keys hot, then none: the plan changes and the result doesn't."""
-    marked = linededup.keep_bitmaps(docs, hot_share=1 << 14, hot_lines=hot_lines)
+    marked = linededup.keep_bitmaps(
+        docs, hot_share=1 << 14, hot_lines=hot_lines, broadcast_bytes=broadcast_bytes
+    )
     assert sum(c.lower() == "n_lines" for c in marked.columns) == 1 and "score" in marked.columns
     text = linededup.kept_text(F.col("text"), F.col("keep"))
     got = marked.select("doc_id", "n_lines", "n_dropped", text).collect()
@@ -104,9 +106,13 @@ def test_no_lines_of_an_empty_table(empty):
 
 
 def test_line_dedup_stays_in_the_jvm(docs, capsys):
-    linededup.keep_bitmaps(docs).explain()
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("of"), "text")
+    linededup._dropped(linededup._keyed(rows, 10), []).explain()
+    linededup.keep_bitmaps(docs, broadcast_bytes=0).explain()
     plan = capsys.readouterr().out
-    assert "rangepartitioning(h1" in plan and "Python" not in plan and "InArrow" not in plan
+    # One exchange by ranges of the hashes, one sort, and no other exchange for the window.
+    assert plan.count("rangepartitioning(h1") == 1 and "hashpartitioning(h1" not in plan
+    assert "Python" not in plan and "InArrow" not in plan
 
 
 # Filter audit
