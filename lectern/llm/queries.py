@@ -232,7 +232,13 @@ SELECT conv_id, call_id, turn, tool, level, position, result_turn,
        || ',"call_id":' || CAST(to_json(call_id) AS VARCHAR)
        || ',"name":' || coalesce(CAST(to_json(tool) AS VARCHAR), 'null')
        || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS message
-FROM placed FULL JOIN results USING (conv_id, call_id)"""
+FROM placed FULL JOIN results USING (conv_id, call_id)
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, NULL, NULL, NULL, 0, 0, 'other role',
+       'role ' || coalesce(CAST(to_json(role) AS VARCHAR), 'null'),
+       '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null')
+       || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}'
+FROM conversations WHERE coalesce(role, '') NOT IN ('user', 'system', 'assistant')"""
 
 
 _SEARCH_SQL = r"""

@@ -11,8 +11,11 @@
   resolved level by level. Calls on a cycle, or behind one, have level -1 and come first.
 * Validation: a call's arguments must be a JSON object that has the required fields of its
   tool's schema, of the right types and sizes, and no others.
-* ``message`` is canonical JSON: keys in order of code points, no white space, numbers in
-  their shortest form. Arguments that are no JSON are kept as a string.
+* ``message`` is canonical JSON: keys in the order of their UTF-16 units, as RFC 8785 has
+  them, no white space, and one text per number. That is its exact decimal value, however
+  long, without needless zeros: as ``100``, ``0.05``, or ``1.5e+30`` where the first digit is
+  more than 21 places before the point or 6 behind it. Numbers whose exponent is no 64-bit
+  integer keep their text. Arguments that are no JSON, or repeat a key, are kept as a string.
 
 Calls and results without a conversation or an identifier can't be linked: they are rows of
 their own, each with the error ``no identifier``; such results have status ``no call``.
@@ -39,9 +42,13 @@ TYPES = {
 }
 
 
-def _key() -> Column:
-    """One value per conversation and identifier; null if one of them is missing."""
-    return F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("call_id"))
+def _key(call_id: str = "call_id") -> Column:
+    """One value per conversation and identifier; null if one of them is missing.
+
+    The length says where the conversation ends, whatever characters both have.
+    """
+    conversation = F.col("conv_id").cast("string")
+    return F.concat(F.length(conversation).cast("string"), F.lit(":"), conversation, F.col(call_id))
 
 
 def levels(calls: DataFrame, after: DataFrame) -> DataFrame:
@@ -127,7 +134,8 @@ def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
         F.collect_list(F.struct("field", "type", "required", "most")).alias("fields")
     )
     given = F.expr("try_variant_get(value, '$', 'map<string,variant>')")
-    rows = calls.withColumn("value", F.expr("try_parse_json(arguments)")).withColumn(
+    value = F.when(is_json(F.col("arguments")), F.try_parse_json("arguments"))
+    rows = calls.withColumn("value", value).withColumn(
         "given", F.when(F.expr("schema_of_variant(value)").startswith("OBJECT"), given)
     )
     rows = rows.join(if_small(tools), "tool", "left")
@@ -166,9 +174,81 @@ def problems(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     return rows.withColumn("errors", errors).drop("given", "fields", "value")
 
 
+def is_json(text: Column) -> Column:
+    """Whether all of ``text`` is one JSON value; the parser itself stops after the first.
+
+    What ends early in brackets can't go on in braces, and the other way round.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    alone = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    return F.coalesce(alone & named.isNotNull(), F.lit(False))
+
+
+def canonical_number(text: Column) -> Column:
+    """The one text of a JSON number's exact value."""
+    sign, whole = F.regexp_extract(text, "^(-?)", 1), F.regexp_extract(text, "^-?([0-9]+)", 1)
+    power = F.regexp_extract(text, "[eE][+]?(-?[0-9]+)", 1)
+    shown = F.concat(whole, F.regexp_extract(text, "[.]([0-9]+)", 1))
+    digits = F.ltrim(shown, F.lit("0"))
+    moved = F.when(power == "", F.lit(0)).otherwise(power.try_cast("long"))
+    point = F.length(whole) + F.length(digits) - F.length(shown) + moved
+    value = F.array(F.struct(F.rtrim(digits, F.lit("0")).alias("d"), point.alias("p")))
+
+    def written(x: Column) -> Column:  # the value is 0.d times ten to the power of p
+        d, p, n = x["d"], x["p"], F.length(x["d"])
+        places = p.cast("int")
+        tail = F.when(n > 1, F.concat(F.lit("."), F.substring(d, 2, n))).otherwise("")
+        return (
+            F.when(d == "", "0")
+            .when(p.between(n, 21), F.concat(sign, d, F.repeat(F.lit("0"), places - n)))
+            .when(
+                p.between(1, 21),
+                F.concat(sign, F.substring(d, 1, places), F.lit("."), F.substring(d, places + 1, n)),
+            )
+            .when(p.between(-5, 0), F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -places), d))
+            .otherwise(F.concat(
+                sign, F.substring(d, 1, 1), tail, F.lit("e"), F.when(p > 0, "+").otherwise(""),
+                (p - 1).cast("string"),
+            ))
+        )
+
+    return F.coalesce(F.element_at(F.transform(value, written), 1), text)
+
+
+# What stands for a number's text in a string, and for the escapes of backslash and quote
+# while strings are told apart. None of these characters may stand in JSON as it is.
+_NUMBER, _BACKSLASH, _QUOTE = "\\u0001", "\x02", "\x03"
+_NUMBERS = "-?[0-9]+(?:[.][0-9]+)?(?:[eE][-+]?[0-9]+)?|[^-0-9]+|-"
+
+
 def canonical(text: Column) -> Column:
-    """JSON text in canonical form; a text that is no JSON as a JSON string."""
-    return F.coalesce(F.to_json(F.try_parse_json(text)), json_string(text))
+    """JSON text in canonical form; a text that is no JSON as a JSON string.
+
+    Numbers are put into strings, with a mark that other strings can't begin with, so that
+    parsing doesn't change them, and taken out again.
+    """
+    hidden = F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH))
+    hidden = F.replace(hidden, F.lit('\\"'), F.lit(_QUOTE))
+
+    def outside(part: Column) -> Column:
+        found = F.regexp_extract_all(part, F.lit(_NUMBERS), F.lit(0))
+        number = lambda x: F.concat(F.lit(f'"{_NUMBER}'), canonical_number(x), F.lit('"'))
+        return F.array_join(
+            F.transform(found, lambda x: F.when(x.rlike("[0-9]"), number(x)).otherwise(x)), ""
+        )
+
+    def marked(part: Column, at: Column) -> Column:
+        inside = F.replace(part, F.lit(_NUMBER), F.lit(_NUMBER * 2))
+        return F.when(at % 2 == 0, outside(part)).otherwise(inside)
+
+    parts = F.transform(F.split(hidden, '"', -1), marked)
+    whole = F.replace(F.array_join(parts, '"'), F.lit(_QUOTE), F.lit('\\"'))
+    whole = F.replace(whole, F.lit(_BACKSLASH), F.lit("\\\\"))
+    found = F.to_json(F.try_parse_json(whole))
+    found = F.regexp_replace(found, '"\\\\u0001([-+.e0-9]+)"', "$1")
+    found = F.replace(found, F.lit(_NUMBER * 2), F.lit(_NUMBER))
+    return F.when(is_json(text), F.coalesce(found, json_string(text))).otherwise(json_string(text))
 
 
 def json_string(text: Column) -> Column:
@@ -207,9 +287,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> DataFrame:
             F.col("result.content").alias("content"), "n_results",
         )
     )
-    prior = once.select("key", "conv_id", F.explode("after").alias("of")).select(
-        "key", F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("of")).alias("parent")
-    )
+    prior = once.select("key", "conv_id", F.explode("after").alias("of"))
+    prior = prior.select("key", _key("of").alias("parent"))
     placed = once.join(levels(once, prior), "key").drop("key")
     order = [F.col("level"), F.col("turn"), F.col("call_id")]
     placed = ranked(placed, order, within=["conv_id"], name="position")
