@@ -39,6 +39,8 @@ from lectern.schema import COURSE
 from lectern.scratch import scratch_path, stage
 from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
+from lectern.sources.page_directory import page_at, write_sorted
+from lectern.sources.title_index import build_title_index, search_titles
 from lectern.streaming.sync import sync_available_now
 
 
@@ -60,6 +62,8 @@ AS_OF = datetime.datetime(2024, 1, 1)
 COURSE_ID = "104"
 USER_ID = 7
 SEARCH = "the"
+INDEXED = "THAT "
+DEEP_PAGE = 11
 CATALOG_COLUMNS = (
     "_id",
     "title",
@@ -310,13 +314,58 @@ def clusters(spark, sf_dir):
 def sync_incremental(spark, sf_dir):
     folder = V.written_coursera_feed(spark, sf_dir, files=2)
     store = CatalogStore(spark, scratch_path(spark, "catalog"))
-    store.write(V.courses(spark, sf_dir, skills=True))
+    store.upsert(V.courses(spark, sf_dir, skills=True))
     sync_available_now(
         spark, "coursera", folder, store, scratch_path(spark, "sync"), AS_OF, 1
     )
     return store.read().select(*CATALOG_COLUMNS)
 
 
+def merge_by_id(spark, sf_dir):
+    """A batch by ``_id`` that may set ``cluster``, unlike a harvest."""
+    stored = V.courses(spark, sf_dir, skills=True)
+    merged = merge.merge_upsert(stored, V.renamed(spark, sf_dir), "_id", preserve=())
+    return merged.select(*CATALOG_COLUMNS)
+
+
+def upsert_partitions(spark, sf_dir):
+    store = CatalogStore(spark, scratch_path(spark, "catalog"))
+    store.upsert(V.courses(spark, sf_dir, skills=True))
+    store.upsert(V.updates(spark, sf_dir))
+    return store.read().select(*CATALOG_COLUMNS)
+
+
+def _regrouped_store(spark, sf_dir):
+    store = CatalogStore(spark, scratch_path(spark, "catalog"))
+    store.upsert(V.courses(spark, sf_dir))
+    store.upsert(V.regrouped(spark, sf_dir))
+    return store
+
+
+def kept_facet_categories(spark, sf_dir):
+    return _regrouped_store(spark, sf_dir).category_facet()
+
+
+def kept_facet_languages(spark, sf_dir):
+    return _regrouped_store(spark, sf_dir).language_facet()
+
+
+def _indexed(word: str) -> Query:
+    def run(spark, sf_dir):
+        path = scratch_path(spark, "titles")
+        build_title_index(_catalog(spark, sf_dir), path)
+        return search_titles(_catalog(spark, sf_dir), path, word).select("_id")
+
+    return run
+
+
+def list_page_deep(spark, sf_dir):
+    path, courses = scratch_path(spark, "pages"), V.courses(spark, sf_dir)
+    write_sorted(courses, path, file_rows=100)
+    found = page_at(spark, path, courses.schema, page=DEEP_PAGE)
+    return found.select("_id", "title", "category", "level", "language")
+
+
 def sync_two_folders(spark, sf_dir):
     """Both feeds, each with its own checkpoint, into one store."""
     store = CatalogStore(spark, scratch_path(spark, "catalog"))
@@ -379,6 +428,13 @@ def own_queries() -> dict[str, Query]:
         "sync_two_folders": sync_two_folders,
         "list_count": list_count,
         "search_title_escaped": _ids(search="n."),
+        "search_indexed": _indexed(INDEXED),
+        "search_indexed_short": _indexed("n."),
+        "list_page_deep": list_page_deep,
+        "merge_by_id": merge_by_id,
+        "upsert_partitions": upsert_partitions,
+        "kept_facet_categories": kept_facet_categories,
+        "kept_facet_languages": kept_facet_languages,
     }
 
 
@@ -456,6 +512,18 @@ _COURSERA_SQL = """unified_coursera AS (
            'Coursera' AS source_repository, 'en' AS language
     FROM coursera)"""
 _NEW_ID = "sha256(original_url)"
+_MERGED_SQL = f"""WITH {V.COURSES_SQL}, {V.UPDATES_SQL}
+            SELECT coalesce(c._id, {_NEW_ID}) AS _id,
+                   CASE WHEN u.original_url IS NULL THEN c.title ELSE u.title END AS title,
+                   c.description, c.category, c.skills,
+                   CASE WHEN u.original_url IS NULL THEN c.level ELSE u.level END AS level,
+                   original_url, c.source_repository, c.language,
+                   CAST(length(c.title) AS INTEGER) AS cluster
+            FROM courses c FULL JOIN updates u USING (original_url)"""
+_REGROUPED_SQL = f"""{V.COURSES_SQL}, {V.REGROUPED_SQL}, merged AS (
+    SELECT CASE WHEN r.original_url IS NULL THEN c.category ELSE r.category END AS category,
+           CASE WHEN r.original_url IS NULL THEN c.language ELSE r.language END AS language
+    FROM courses c FULL JOIN regrouped r USING (original_url))"""
 
 
 def _on_courses(select: str) -> str:
@@ -569,14 +637,34 @@ def own_oracle_sql() -> dict[str, str]:
         "dedupe_last_wins": f"""WITH {V.CHATS_SQL}
             SELECT original_url, turn, title, description FROM chats
             QUALIFY row_number() OVER (PARTITION BY original_url ORDER BY turn DESC) = 1""",
-        "merge_upsert": f"""WITH {V.COURSES_SQL}, {V.UPDATES_SQL}
-            SELECT coalesce(c._id, {_NEW_ID}) AS _id,
-                   CASE WHEN u.original_url IS NULL THEN c.title ELSE u.title END AS title,
+        "merge_upsert": _MERGED_SQL,
+        "upsert_partitions": _MERGED_SQL.replace(
+            "CAST(length(c.title) AS INTEGER)", "CAST(NULL AS INTEGER)"
+        ),
+        "merge_by_id": f"""WITH {V.COURSES_SQL}, {V.RENAMED_SQL}
+            SELECT _id, CASE WHEN r._id IS NULL THEN c.title ELSE r.title END AS title,
                    c.description, c.category, c.skills,
-                   CASE WHEN u.original_url IS NULL THEN c.level ELSE u.level END AS level,
-                   original_url, c.source_repository, c.language,
-                   CAST(length(c.title) AS INTEGER) AS cluster
-            FROM courses c FULL JOIN updates u USING (original_url)""",
+                   CASE WHEN r._id IS NULL THEN c.level ELSE r.level END AS level,
+                   c.original_url, c.source_repository, c.language,
+                   CAST(CASE WHEN r._id IS NULL THEN c.cluster ELSE r.cluster END AS INTEGER)
+                     AS cluster
+            FROM courses c FULL JOIN renamed r USING (_id)""",
+        "kept_facet_categories": f"""WITH {_REGROUPED_SQL}, cut AS (
+            SELECT category, count(*) AS n FROM merged GROUP BY category
+            ORDER BY n DESC, category ASC NULLS FIRST LIMIT 30)
+            SELECT category, n FROM cut WHERE trim(category) <> ''""",
+        "kept_facet_languages": f"""WITH {_REGROUPED_SQL}
+            SELECT DISTINCT {_NAME_SQL} AS language FROM merged WHERE language <> ''""",
+        "search_indexed": _on_courses(
+            f"SELECT _id FROM courses WHERE contains(lower(title), '{INDEXED.lower()}')"
+        ),
+        "search_indexed_short": _on_courses(
+            "SELECT _id FROM courses WHERE contains(lower(title), 'n.')"
+        ),
+        "list_page_deep": _on_courses(
+            f"""SELECT _id, title, category, level, language FROM courses
+                ORDER BY _id LIMIT 18 OFFSET {(DEEP_PAGE - 1) * 18}"""
+        ),
         "term_weights": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}
             SELECT _id, term, df, round(w, 6) AS weight FROM unit""",
         "similar_pairs_exact": f"""WITH {V.COURSES_SQL}, {_TERMS_SQL}, {_TEXTS_SQL},

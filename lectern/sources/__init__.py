@@ -1 +1 @@
-"""Readers for the harvested feeds and the versioned catalog store."""
+"""Readers for the harvested feeds, and the stored catalog, its indexes and directories."""

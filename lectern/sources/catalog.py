@@ -1,25 +1,39 @@
-"""Stored tables: a plain parquet read and a versioned catalog.
+"""Stored tables: a plain parquet read, and a catalog that is updated in parts.
 
-Spark has no ``MERGE`` on parquet and a job must not overwrite what it reads, so each
-change is written as a new version folder. A version counts once its job committed
-(``_SUCCESS``); readers take the newest. A writer claims its version's number first, by
-creating a file that must not exist, so of two writers at a time one fails.
+Spark has no ``MERGE`` on parquet. The catalog is partitioned by a hash of the course's
+URL, and an upsert rewrites only the partitions its batch falls into
+(``partitionOverwriteMode=dynamic``). Facet counts are kept per partition beside the
+courses and are rewritten with them, so that they never need a count of the catalog.
+
+The merged partitions are written to the scratch folder before they replace the stored
+ones. Merging a batch once more changes nothing, so a batch that failed half-way is
+repaired by its replay. One writer at a time: Spark gives no isolation between two.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.operators.facets import top_categories, with_language_names
+from lectern.operators.merge import merge_upsert
 from lectern.schema import COURSE
+from lectern.scratch import stage
 
-VERSION = re.compile(r"v=(\d{8})(?:-(.+))?")
-#: Versions that are kept; older ones are deleted when a new one has been committed.
-KEPT = 3
+#: Partitions of a catalog. One is rewritten by a task: take more for larger catalogs.
+BUCKETS = 64
+FACETS = ("category", "language")
+COUNTS = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
 
 
 def read_catalog(spark: SparkSession, path: str, schema: T.StructType = COURSE) -> DataFrame:
@@ -28,83 +42,65 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = COURSE)
 
 
 class CatalogStore:
-    """Versions of one table under ``root``; ``kept`` of them stay, for slow readers."""
+    """Courses and their facet counts under ``root``, partitioned by URL."""
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType = COURSE, kept: int = KEPT
+        self, spark: SparkSession, root: str, schema: T.StructType = COURSE, buckets: int = BUCKETS
     ):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.kept = max(kept, 1)
-
-    def _path(self, name: str = ""):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(self.root + name)
-
-    def _files(self):
-        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.spark, self.root, self.schema, self.buckets = spark, root.rstrip("/"), schema, buckets
 
-    def versions(self) -> list[tuple[int, str | None, str]]:
-        """Committed versions, oldest first, as ``(number, tag, path)``."""
-        fs = self._files()
-        if not fs.exists(self._path()):
-            return []
-        found = []
-        for status in fs.listStatus(self._path()):
-            name = status.getPath().getName()
-            match = VERSION.fullmatch(name)
-            if match and fs.exists(self._path(f"/{name}/_SUCCESS")):
-                found.append((int(match[1]), match[2], status.getPath().toString()))
-        return sorted(found, key=lambda version: (version[0], version[1] or ""))
+    def _stored(self, name: str, schema: T.StructType) -> DataFrame:
+        """A stored table with its ``bucket``; an empty one before the first write."""
+        full = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+        try:
+            return read_catalog(self.spark, f"{self.root}/{name}", full)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], full)
 
-    def has(self, tag: str) -> bool:
-        return any(found == tag for _, found, _ in self.versions())
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("original_url"), F.lit(self.buckets)).cast("int")
 
     def read(self) -> DataFrame:
-        """The newest version; an empty table before the first."""
-        versions = self.versions()
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        return read_catalog(self.spark, versions[-1][2], self.schema)
-
-    def _claim(self, number: int, tag: str | None) -> None:
-        """Take ``number``, or raise. A tag that has claimed it before may go on."""
-        fs, claim = self._files(), self._path(f"/_claims/{number:08d}")
-        try:
-            out = fs.create(claim, False)
-        except Py4JJavaError:
-            if not fs.exists(claim):
-                raise
-            stream = fs.open(claim)
-            owner = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
-            if tag is None or owner != tag:
-                raise RuntimeError(
-                    f"version {number} of {self.root} is claimed by {owner or 'a writer'}"
-                ) from None
-        else:
-            out.write(bytearray((tag or "").encode()))
-            out.close()
-
-    def release(self, number: int) -> None:
-        """Give up a claim whose writer is known to be gone."""
-        self._files().delete(self._path(f"/_claims/{number:08d}"), False)
-
-    def write(self, table: DataFrame, tag: str | None = None) -> int:
-        """Add a version. ``tag`` names what it came from, so a replay is seen.
-
-        Raises if another writer has taken the next version's number.
-        """
-        versions = self.versions()
-        number = versions[-1][0] + 1 if versions else 0
-        self._claim(number, tag)
-        name = f"v={number:08d}" + (f"-{tag}" if tag else "")
+        return self._stored("courses", self.schema).drop("bucket")
+
+    def _replace(self, name: str, table: DataFrame) -> None:
+        placed = table.repartition(self.buckets, "bucket")
+        writer = placed.write.partitionBy("bucket").option("partitionOverwriteMode", "dynamic")
+        writer.mode("overwrite").parquet(f"{self.root}/{name}")
+
+    def _save(self, courses: DataFrame) -> None:
+        """Put ``courses`` (written, with ``bucket``) in place of what their buckets hold."""
+        self._replace("courses", courses)
+        pairs = [F.struct(F.lit(c).alias("kind"), F.col(c).alias("value")) for c in FACETS]
+        found = courses.select("bucket", F.inline(F.array(*pairs)))
+        counts = found.groupBy("bucket", "kind", "value").agg(F.count("*").alias("n"))
+        self._replace("facets", counts)
+
+    def upsert(self, batch: DataFrame, preserve: Sequence[str] = ("cluster",)) -> list[int]:
+        """Merge ``batch``, one row per URL, and return the partitions it has changed."""
+        bucket = batch.select(self._bucket().alias("b")).distinct()
+        touched = sorted(r.b for r in bucket.collect())  # at most one per partition
+        if not touched:
+            return []
+        stored = self._stored("courses", self.schema).filter(F.col("bucket").isin(touched))
+        merged = merge_upsert(stored.drop("bucket"), batch, "original_url", preserve)
         fields = [
-            (F.col(f.name) if f.name in table.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
+            (F.col(f.name) if f.name in merged.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in self.schema
         ]
-        # What an own failed attempt has left at this path is no version, and goes.
-        table.select(*fields).write.mode("overwrite").parquet(f"{self.root}/{name}")
-        for _, _, old in self.versions()[: -self.kept]:
-            self._files().delete(self.spark._jvm.org.apache.hadoop.fs.Path(old), True)
-        return number
+        merged = merged.select(*fields).withColumn("bucket", self._bucket())
+        self._save(stage(merged, "merged"))
+        return touched
+
+    def facet_counts(self, kind: str) -> DataFrame:
+        """``kind, n``: courses per value as spelled, from the kept counts alone."""
+        kept = self._stored("facets", COUNTS).filter(F.col("kind") == kind)
+        return kept.groupBy(F.col("value").alias(kind)).agg(F.sum("n").alias("n"))
+
+    def category_facet(self) -> DataFrame:
+        return top_categories(self.facet_counts("category"))
+
+    def language_facet(self) -> DataFrame:
+        return with_language_names(self.facet_counts("language"))

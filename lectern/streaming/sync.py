@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.operators.merge import SEQUENCE, accepted, last_per_key, merge_upsert
+from lectern.operators.merge import SEQUENCE, accepted, last_per_key
 from lectern.schema import COURSERA_PAGE
 from lectern.scratch import stage
 from lectern.sources import feeds
@@ -47,10 +47,10 @@ def sync_available_now(
     """Merge all new files of ``folder`` into ``store``, then stop.
 
     All new files are one batch, and so one merge, unless ``files_per_batch`` is set. A
-    batch becomes one catalog version, tagged with the stream's id, which its checkpoint
-    keeps, and the batch's number. A batch that is replayed after a failure finds its
-    version committed and is left out. Another folder, or another checkpoint, is another
-    stream: its files are merged, and merging a file once more changes nothing.
+    batch rewrites the partitions of ``store`` that its URLs fall into. Merging a batch
+    once more changes nothing, so a batch that is replayed after a failure, another
+    checkpoint, or another folder with the same records does no harm. The checkpoint
+    keeps which files have been merged.
     """
     source = source.lower()
     if source not in FEEDS:
@@ -59,13 +59,8 @@ def sync_available_now(
     raw = feeds.with_file(_feed_stream(spark, source, folder, files_per_batch, pattern))
 
     def apply(batch: DataFrame, number: int) -> None:
-        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        tag = f"{source}-{stream}-{number}"
-        if store.has(tag):
-            return
         last = last_per_key(accepted(unify(records(batch), as_of)), "original_url")
-        staged = stage(last.drop(SEQUENCE), "batch")
-        store.write(merge_upsert(store.read(), staged), tag)
+        store.upsert(stage(last.drop(SEQUENCE), "batch"))
 
     query = (
         raw.writeStream.foreachBatch(apply)

@@ -187,6 +187,39 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.unionByName(new)
 
 
+REGROUPED_SQL = f"""regrouped AS (
+    SELECT concat('{COURSE_URL}', doc_id) AS original_url,
+           CASE WHEN quality = 1 THEN 'Graded' ELSE ' ' END AS category,
+           'Français' AS language
+    FROM labels)"""
+
+
+def regrouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that moves rated courses to other categories and to another language."""
+    return table(spark, sf_dir, "labels").select(
+        F.concat(F.lit(COURSE_URL), F.col("doc_id").cast("string")).alias("original_url"),
+        F.when(F.col("quality") == 1, "Graded").otherwise(" ").alias("category"),
+        F.lit("Français").alias("language"),
+    )
+
+
+RENAMED_SQL = """renamed AS (
+    SELECT CAST(doc_id AS VARCHAR) AS _id, concat('Rated course ', doc_id) AS title,
+           CASE WHEN quality = 1 THEN 'Advanced' END AS level, quality AS cluster
+    FROM labels)"""
+
+
+def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that names stored courses by id."""
+    doc_id = F.col("doc_id").cast("string")
+    return table(spark, sf_dir, "labels").select(
+        doc_id.alias("_id"),
+        F.concat(F.lit("Rated course "), doc_id).alias("title"),
+        F.when(F.col("quality") == 1, "Advanced").alias("level"),
+        F.col("quality").cast("int").alias("cluster"),
+    )
+
+
 CHATS_SQL = f"""chats AS (
     SELECT concat('{CHAT_URL}', conv_id) AS original_url, turn, role AS title,
            text AS description
