@@ -26,6 +26,11 @@ from lectern.plans.cards import course_cards, course_details
 from lectern.operators.skew import lookup_join
 from lectern.plans.harvest import harvest
 from lectern.plans.listing import course_by_id, list_courses
+from lectern.plans.neighbour_store import (
+    build_neighbours,
+    stored_similarity,
+    update_neighbours,
+)
 from lectern.plans.similar import (
     find_similar,
     lsh_recall,
@@ -273,6 +278,15 @@ def top5_similar(spark, sf_dir):
     return near.withColumn("score", F.round("score", 6))
 
 
+def top5_after_changes(spark, sf_dir):
+    """The neighbour table after some texts have changed, without comparing all others."""
+    path, new_path = scratch_path(spark, "neighbours"), scratch_path(spark, "neighbours")
+    build_neighbours(V.courses(spark, sf_dir), path)
+    update_neighbours(V.reworded(spark, sf_dir), path, new_path)
+    near = neighbours(stored_similarity(spark, new_path))
+    return near.withColumn("score", F.round("score", 6))
+
+
 def similar_to_course(spark, sf_dir):
     found = similar_courses(_similarity(spark, sf_dir), V.courses(spark, sf_dir), COURSE_ID)
     return found.withColumn("score", F.round("score", 6))
@@ -416,6 +430,7 @@ def own_queries() -> dict[str, Query]:
         "similar_pairs_exact": similar_pairs_exact,
         "similar_pairs_members": similar_pairs_members,
         "top5_similar": top5_similar,
+        "top5_after_changes": top5_after_changes,
         "similar_courses": similar_to_course,
         "suggestions_user": suggestions_user,
         "suggestions_all": suggestions_all,
@@ -495,6 +510,25 @@ _TOP_SQL = """ranked AS (
     FROM scores),
 top5 AS (SELECT _id, rank, similar_doc_id, round(score, 9) AS score FROM ranked
          WHERE rank <= 5)"""
+# The same after some texts have changed, with the frequencies from before.
+_CHANGED_TERMS_SQL = f"""{V.REWORDED_SQL},
+old_words AS (
+    SELECT DISTINCT _id, unnest(string_split_regex(lower(description), '\\s')) AS term
+    FROM courses),
+frequency AS (SELECT term, count(*) AS df FROM old_words GROUP BY term),
+words AS (
+    SELECT _id, unnest(string_split_regex(lower(description), '\\s')) AS term FROM reworded),
+counts AS (
+    SELECT _id, term, count(*) AS tf FROM words
+    WHERE term NOT IN ({_quoted(STOP_WORDS)}) GROUP BY _id, term),
+weighted AS (
+    SELECT _id, term,
+           tf * ln(((SELECT count(*) FROM courses) + 1.0) / (coalesce(df, 0) + 1.0)) AS x
+    FROM counts LEFT JOIN frequency USING (term)),
+norms AS (
+    SELECT _id, sqrt(sum(x * x)) AS norm FROM weighted GROUP BY _id HAVING sum(x * x) > 0),
+unit AS (
+    SELECT _id, term, x / norm AS w FROM weighted JOIN norms USING (_id) WHERE x > 0)"""
 # One row per distinct text, named by its smallest id.
 _TEXTS_SQL = """texts AS (
     SELECT min(_id) AS _id, count(*) AS copies, lower(description) AS text
@@ -679,6 +713,9 @@ def own_oracle_sql() -> dict[str, str]:
         "top5_similar": _on_similarity(
             "SELECT _id, rank, similar_doc_id, round(score, 6) AS score FROM top5"
         ),
+        "top5_after_changes": f"""WITH {V.COURSES_SQL}, {_CHANGED_TERMS_SQL},
+            {_SCORES_SQL}, {_TOP_SQL}
+            SELECT _id, rank, similar_doc_id, round(score, 6) AS score FROM top5""",
         "similar_courses": _on_similarity(
             f"""SELECT c._id AS id, title, level, round(score, 6) AS score
                 FROM top5 JOIN courses c ON c._id = similar_doc_id

@@ -220,6 +220,21 @@ def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+REWORDED_SQL = """reworded AS (
+    SELECT c._id, CASE WHEN quality = 0 THEN concat('Withdrawn ', description)
+                       ELSE description END AS description
+    FROM courses c LEFT JOIN labels l ON CAST(l.doc_id AS VARCHAR) = c._id)"""
+
+
+def reworded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The courses of poor quality, each with one more word."""
+    poor = table(spark, sf_dir, "labels").filter("quality = 0")
+    poor = poor.select(F.col("doc_id").cast("string").alias("_id")).distinct()
+    return courses(spark, sf_dir).join(poor, "_id", "left_semi").select(
+        "_id", F.concat(F.lit("Withdrawn "), "description").alias("description")
+    )
+
+
 CHATS_SQL = f"""chats AS (
     SELECT concat('{CHAT_URL}', conv_id) AS original_url, turn, role AS title,
            text AS description
