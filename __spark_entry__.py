@@ -36,6 +36,7 @@ from lectern.plans.similar import (
     lsh_recall,
     neighbours,
     similar_courses,
+    similar_courses_by_key,
     similar_text_pairs,
     text_members,
 )
@@ -43,6 +44,7 @@ from lectern.plans.suggest import suggest_for_all
 from lectern.schema import COURSE
 from lectern.scratch import scratch_path, stage
 from lectern.sources import feeds
+from lectern.sources.bucketed import bucketed
 from lectern.sources.catalog import CatalogStore
 from lectern.sources.page_directory import page_at, write_sorted
 from lectern.sources.title_index import build_title_index, search_titles
@@ -292,6 +294,31 @@ def similar_to_course(spark, sf_dir):
     return found.withColumn("score", F.round("score", 6))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the catalog, bucketed by course id."""
+    key = (spark.sparkContext.applicationId, f"buckets of {name} in {sf_dir}")
+    if key not in _stored:
+        table, column = {
+            "courses": lambda: (V.courses(spark, sf_dir), "_id"),
+            "similarity": lambda: (_similarity(spark, sf_dir), "_id"),
+            "likes": lambda: (V.likes(spark, sf_dir), "course_id"),
+        }[name]()
+        _stored[key] = bucketed(table, name, column)
+    return _stored[key]
+
+
+def similar_bucketed(spark, sf_dir):
+    similarity, courses = (_bucketed(spark, sf_dir, n) for n in ("similarity", "courses"))
+    found = similar_courses_by_key(similarity, courses, COURSE_ID)
+    return found.withColumn("score", F.round("score", 6))
+
+
+def suggestions_bucketed(spark, sf_dir):
+    similarity, likes = (_bucketed(spark, sf_dir, n) for n in ("similarity", "likes"))
+    found = suggest_for_all(similarity, likes)
+    return found.withColumn("max_score", F.round("max_score", 6))
+
+
 def suggestions_user(spark, sf_dir):
     mine = V.likes(spark, sf_dir).filter(F.col("user_id") == USER_ID)
     found = suggest_for_all(_similarity(spark, sf_dir), mine)
@@ -434,6 +461,8 @@ def own_queries() -> dict[str, Query]:
         "similar_courses": similar_to_course,
         "suggestions_user": suggestions_user,
         "suggestions_all": suggestions_all,
+        "similar_bucketed": similar_bucketed,
+        "suggestions_bucketed": suggestions_bucketed,
         "similar_pairs_lsh": similar_pairs_lsh,
         "top5_similar_lsh": top5_similar_lsh,
         "lsh_recall": lsh_recall_of_pairs,
@@ -575,6 +604,13 @@ def oracle_sql() -> dict[str, str]:
 
 
 def own_oracle_sql() -> dict[str, str]:
+    found = _twins()
+    found["similar_bucketed"] = found["similar_courses"]
+    found["suggestions_bucketed"] = found["suggestions_all"]
+    return found
+
+
+def _twins() -> dict[str, str]:
     return {
         "norm_language": _on_courses(f"SELECT _id, {_NAME_SQL} AS language_name FROM courses"),
         "norm_language_display": _on_courses(

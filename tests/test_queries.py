@@ -57,5 +57,27 @@ def test_filters_reach_the_stored_catalog(spark, capsys, name):
     assert any("EqualTo" in x for x in pushed)
 
 
+def test_bucketed_lookups_read_their_buckets(spark, capsys):
+    courses = entry._bucketed(spark, SF_DIR, "courses")
+    assert len(courses.inputFiles()) > 40
+    found = courses.filter("_id = '104'")
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")  # is shown then
+    found.explain("formatted")
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 64" in capsys.readouterr().out
+    assert found.count() == 1
+
+
+def test_suggestions_do_not_shuffle_bucketed_tables(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = entry.suggestions_bucketed(spark, SF_DIR)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The exchanges are those of the best per user: by what is suggested, then by user.
+    assert "hashpartitioning(_id" not in plan and "SortMergeJoin [_id" in plan
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["_id", "rank", "similar_doc_id", "score"]
