@@ -8,10 +8,13 @@ the fingerprint. A text changes the components of the terms it gains or loses, a
 the others. The likeness of two fingerprints is the share of equal components among those
 that are not empty in both.
 
-The band bounds the lexicon: no more than (all terms of all documents) / (lower limit)
-terms can reach the lower limit, and the limit is raised until that is ``LEXICON``. So the
-lexicon is one lookup table, read by every task, and texts are fingerprinted in place,
-without a shuffle of their terms.
+The band bounds the lexicon: at most (a text's distinct terms on average) / ``LOW`` terms
+can reach the lower limit. A lexicon of up to ``LEXICON`` terms is one lookup table, read by
+every task, and texts are fingerprinted in place, without a shuffle of their terms; a larger
+one meets the terms in a join. That decides the plan only.
+
+The parts of the lexicon are disjoint, a random one per term, so that a fingerprint changes
+by degrees: of an edited text, the parts that the edit doesn't touch stay equal.
 
 A text without lexicon terms is fingerprinted by all its terms, one without terms (null is
 empty) has empty components. Fingerprints that are equal have likeness 1. Equal texts have
@@ -28,6 +31,7 @@ from lectern.llm.common import ranked
 from lectern.scratch import stage
 
 LOW, HIGH = 0.002, 0.1
+#: Terms up to which the lexicon is a table that each task reads.
 LEXICON = 1 << 17
 SUBSETS = 64
 BETWEEN_TERMS = r"[^\p{L}\p{N}]+"
@@ -52,8 +56,7 @@ def lexicon(docs: DataFrame, text: str = "text", low: float = LOW, high: float =
     )
     counts = stage(counts.filter("df > 1"), "frequencies")
     documents = docs.count()
-    listed = counts.agg(F.sum("df")).first()[0] or 0
-    least = max(2.0, low * documents, listed / LEXICON)
+    least = max(2.0, low * documents)
     return counts.filter((F.col("df") >= least) & (F.col("df") <= max(high * documents, least)))
 
 
@@ -75,8 +78,28 @@ def _with(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def components(own: Column) -> Column:
+    """``SUBSETS`` components of ``DIGITS`` hexadecimal digits each, as one string.
+
+    ``own``: the sorted terms that count.
+    """
+    nothing = F.xxhash64(F.array().cast("array<bigint>"))
+    subset = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
+    part = lambda t: F.pmod(F.shiftright(t, 20), F.lit(SUBSETS))
+    hashes = F.transform(subset, lambda k: F.xxhash64(F.filter(own, lambda t: part(t) == k)))
+    return F.array_join(
+        F.transform(
+            hashes,
+            lambda h: F.when(h == nothing, EMPTY).otherwise(
+                F.lower(F.right(F.lpad(F.hex(h), 16, "0"), F.lit(DIGITS)))
+            ),
+        ),
+        "",
+    )
+
+
 def fingerprint(text: Column, table: Column) -> Column:
-    """``SUBSETS`` components of ``DIGITS`` hexadecimal digits each, as one string."""
+    """The components of a text's lexicon terms, or of all its terms if it has none."""
 
     def known(term: Column) -> Column:
         bucket = (F.pmod(term, F.lit(BUCKETS)) + 1).cast("int")
@@ -88,26 +111,32 @@ def fingerprint(text: Column, table: Column) -> Column:
             lambda own: F.array_sort(F.when(F.size(own) > 0, own).otherwise(found)),
         )
 
-    def components(own: Column) -> Column:
-        nothing = F.xxhash64(F.array().cast("array<bigint>"))
-        subset = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
-        part = lambda t: F.pmod(F.shiftright(t, 20), F.lit(SUBSETS))
-        hashes = F.transform(
-            subset, lambda k: F.xxhash64(F.filter(own, lambda t: part(t) == k))
-        )
-        return F.array_join(
-            F.transform(
-                hashes,
-                lambda h: F.when(h == nothing, EMPTY).otherwise(
-                    F.lower(F.right(F.lpad(F.hex(h), 16, "0"), F.lit(DIGITS)))
-                ),
-            ),
-            "",
-        )
-
     return _with(_with(terms(text), chosen), components)
 
 
+def _joined_fingerprints(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """``found`` (text, edited, ...) with both fingerprints, by a join of all their terms.
+
+    The lexicon's terms are in a part of the documents at most, so none of them is hot.
+    """
+    found = stage(found.withColumn("row", F.monotonically_increasing_id()), "edited")
+    both = found.select("row", F.explode(F.array(
+        F.struct(F.lit(0).alias("of"), terms(F.col("text")).alias("all")),
+        F.struct(F.lit(1).alias("of"), terms(F.col("edited")).alias("all")),
+    )).alias("t"))
+    both = both.select("row", "t.of", F.explode("t.all").alias("term"))
+    own = both.join(listed.select("term"), "term", "left_semi").groupBy("row").agg(*[
+        F.array_sort(F.collect_list(F.when(F.col("of") == i, F.col("term")))).alias(name)
+        for i, name in enumerate(("own_text", "own_edited"))
+    ])
+    joined = found.join(own, "row", "left")
+    for name, out in (("text", "fingerprint"), ("edited", "edited_fingerprint")):
+        held = F.size(F.coalesce(f"own_{name}", F.array().cast("array<bigint>"))) > 0
+        counted = F.when(held, F.col(f"own_{name}")).otherwise(F.array_sort(terms(F.col(name))))
+        joined = joined.withColumn(out, _with(counted, components))
+    return joined.drop("row", "own_text", "own_edited")
+
+
 def likeness(one: Column, two: Column) -> Column:
     """The share of equal components among those not empty in both; 1 if all are equal."""
     places = F.sequence(F.lit(0), F.lit(SUBSETS - 1))
@@ -166,16 +195,20 @@ def edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
 
 def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of texts and edited texts, and their likeness to those and to the next."""
-    table = _table(lexicon(docs, text))
-    # A column of its own, since a subquery can't stand inside of a lambda function.
-    found = edited(docs, doc_id, text).withColumn("table", table)
-    table = F.col("table")
+    listed, found = lexicon(docs, text), edited(docs, doc_id, text)
+    if listed.limit(LEXICON + 1).count() <= LEXICON:
+        # A column of its own, since a subquery can't stand inside of a lambda function.
+        found, table = found.withColumn("table", _table(listed)), F.col("table")
+        found = found.withColumns({
+            "fingerprint": fingerprint(F.col("text"), table),
+            "edited_fingerprint": fingerprint(F.col("edited"), table),
+        })
+    else:
+        found = _joined_fingerprints(found, listed)
     found = found.select(
         "id", "mark", "next_id", "next_mark",
         F.length("text").cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), table).alias("fingerprint"),
-        fingerprint(F.col("edited"), table).alias("edited_fingerprint"),
+        F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
     )
     found = stage(found, "fingerprints")
     others = found.groupBy(F.col("id").alias("of"), F.col("mark").alias("of_mark")).agg(

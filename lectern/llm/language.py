@@ -2,8 +2,9 @@
 
 Texts are lower-cased; their n-grams of 1 to 3 code points are hashed into ``BUCKETS``.
 The model is a matrix of log probabilities, languages by buckets, with add-one smoothing,
-and the languages' log priors. Its size does not depend on the data, so it is broadcast.
-A batch of texts is scored at once: the rows of the matrix at the n-grams' buckets are
+and the languages' log priors. It is broadcast in blocks of ``BLOCK`` languages, one as a
+rule; where there are more, texts are scored block by block and the best one is kept. A
+batch of texts is scored at once: the rows of the matrix at the n-grams' buckets are
 summed per text.
 
 A text that is null or has no letter is ``und`` with score 0. Otherwise the score is the
@@ -22,26 +23,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.llm.common import append_columns, small_batches
+from lectern.scratch import stage
 
 BUCKETS = 1 << 15
 ORDERS = 3
 #: Documents per language that the model is fitted on, about (a hash picks them). A
 #: language with fewer is used in full.
 PER_LANGUAGE = 4_000
-#: Most languages; beyond it the matrix would be too large to broadcast.
-MOST_LANGUAGES = 256
+#: Languages of a block of the matrix, so that what is broadcast at a time is bounded.
+BLOCK = 256
 UNDETERMINED = "und"
 # n-grams that are hashed and looked up at a time.
 SLICE = 1 << 17
 
 
 @dataclass(frozen=True)
-class Model:
+class Block:
     languages: list[str]
     weights: np.ndarray  # buckets x languages
     prior: np.ndarray
 
 
+@dataclass(frozen=True)
+class Model:
+    """``languages`` in order, dealt to ``blocks``."""
+
+    languages: list[str]
+    blocks: list[Block]
+
+
 def _codes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), "<u4")
 
@@ -93,12 +103,10 @@ def fit(
         docs[text].alias("text"),
         F.pmod(F.xxhash64(docs[doc_id]), F.lit(1 << 30)).alias("place"),
     )
-    counts = rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages: the model would not be small")
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()  # a row per language
     languages = [r["lang"] for r in counts]
     if not languages:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return Model([], [])
     share = spark.createDataFrame(
         [(r["lang"], min(1.0, per_language / r["count"])) for r in counts],
         "lang string, share double",
@@ -128,21 +136,33 @@ def fit(
         .mapInArrow(count, "i long, bucket long, n long")
         .groupBy("i", "bucket")
         .agg(F.sum("n").alias("n"))
-        .toPandas()  # at most languages x buckets
     )
-    table = np.ones((BUCKETS, len(languages)))
-    table[found["bucket"].to_numpy(int), found["i"].to_numpy(int)] += found["n"].to_numpy(float)
-    weights = np.log(table / table.sum(axis=0)).astype(np.float32)
-    rows_of = np.array([r["count"] for r in counts], float)
-    return Model(languages, weights, np.log(rows_of / rows_of.sum()))
-
-
-def score_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
-    """The language and the score of each text of a batch."""
-    names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-    asked = [
-        i for i, t in enumerate(texts) if t and model.languages and any(map(str.isalpha, t))
-    ]
+    found = stage(found, "grams") if len(languages) > BLOCK else found
+    total, blocks = sum(r["count"] for r in counts), []
+    for first in range(0, len(languages), BLOCK):
+        own = counts[first : first + BLOCK]
+        part = found.filter(F.col("i").between(first, first + len(own) - 1)).toPandas()
+        table = np.ones((BUCKETS, len(own)))  # and at most so many rows were received
+        at = part["bucket"].to_numpy(int), part["i"].to_numpy(int) - first
+        table[at] += part["n"].to_numpy(float)
+        blocks.append(Block(
+            languages[first : first + BLOCK],
+            np.log(table / table.sum(axis=0)).astype(np.float32),
+            np.log(np.array([r["count"] for r in own], float) / total),
+        ))
+    return Model(languages, blocks)
+
+
+def score_texts(
+    model: Block, texts: list[str | None]
+) -> tuple[list[str | None], list[float | None], list[float | None]]:
+    """The best language of a block, its log score, and what all of the block have beside it.
+
+    The last is the sum of the probabilities of all, where that of the best one is 1. Texts
+    that are not scored have nulls.
+    """
+    names, tops, masses = ([None] * len(texts) for _ in range(3))
+    asked = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
     sums = np.zeros((len(asked), len(model.languages)))
     waiting: list[np.ndarray] = []
     rows: list[int] = []
@@ -167,8 +187,9 @@ def score_texts(model: Model, texts: list[str | None]) -> tuple[list[str], list[
     best = sums.argmax(axis=1) if len(asked) else []
     for row, i in enumerate(asked):
         names[i] = model.languages[best[row]]
-        scores[i] = float(1 / np.exp(sums[row] - sums[row, best[row]]).sum())
-    return names, scores
+        tops[i] = float(sums[row, best[row]])
+        masses[i] = float(np.exp(sums[row] - tops[i]).sum())
+    return names, tops, masses
 
 
 def predict(
@@ -179,14 +200,38 @@ def predict(
     score: str = "score",
 ) -> DataFrame:
     """Add the predicted language and its score to ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    made, found = docs, []
+    for number, block in enumerate(model.blocks):
+        names = [f"__{what}{number}" for what in ("lang", "top", "mass")]
+        made = _with_block(made, block, text, names)
+        found.append(F.struct(
+            F.col(names[1]).alias("top"), F.lit(-number).alias("first"),
+            F.col(names[0]).alias("lang"), F.col(names[2]).alias("mass"),
+        ))
+    outs = {lang.lower(), score.lower()}
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in outs]
+    nothing = F.lit(UNDETERMINED).alias(lang), F.lit(0.0).alias(score)
+    if not found:
+        return docs.select(*kept, *nothing)
+    best = found[0] if len(found) == 1 else F.greatest(*found)
+    beside = sum(f["mass"] * F.exp(f["top"] - best["top"]) for f in found)
+    return made.select(
+        *kept,
+        F.coalesce(best["lang"], F.lit(UNDETERMINED)).alias(lang),
+        F.coalesce(1.0 / beside, F.lit(0.0)).alias(score),
+    )
+
+
+def _with_block(docs: DataFrame, block: Block, text: str, names: list[str]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def make():
         def run(texts):
-            names, scores = score_texts(shared.value, texts.to_pylist())
-            return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            langs, tops, masses = score_texts(shared.value, texts.to_pylist())
+            return [pa.array(langs, pa.string()), pa.array(tops, pa.float64()),
+                    pa.array(masses, pa.float64())]
 
         return run
 
-    fields = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
-    return append_columns(docs, [text], fields, make)
+    kinds = (T.StringType(), T.DoubleType(), T.DoubleType())
+    return append_columns(docs, [text], [T.StructField(*f) for f in zip(names, kinds)], make)

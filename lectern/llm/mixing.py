@@ -112,10 +112,13 @@ def _meet_by(seed: str):
     return lambda acc, x: _meet(acc, x, seed)
 
 
-def _settle(rows: DataFrame, seed: str, most: int) -> DataFrame:
+def _settle(rows: DataFrame, seed: str, most: int, later: DataFrame) -> DataFrame:
     """Rows (key, up) for ``rows`` (source, key, size, mass), settled in a tree.
 
     ``key`` is a rank below ``most``; ``mass``, from 0 to ``size``, is the words to take.
+    ``later`` (of, planned, limit) says how many words of the source's later classes are to
+    be taken, and how many can be. The last row of a source goes to the side that these can
+    make up for, by chance if that is both or none.
     """
     settled = []
     turn, width = 0, 1
@@ -138,7 +141,11 @@ def _settle(rows: DataFrame, seed: str, most: int) -> DataFrame:
         rows = level.select("source", "fold.key", "fold.size", "fold.mass")
     chance = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "key")), 1, 12), 16, 10)
     last = chance.cast("double") / float(1 << 48) * F.col("size") < F.col("mass")
-    settled.append(rows.select("key", last.alias("up")))
+    ended = rows.join(if_small(later), rows["source"].eqNullSafe(F.col("of")), "left")
+    up_fits = F.col("size") - F.col("mass") <= F.col("planned")
+    down_fits = F.col("planned") + F.col("mass") <= F.col("limit")
+    side = F.when(up_fits & ~down_fits, True).when(down_fits & ~up_fits, False).otherwise(last)
+    settled.append(ended.select("key", side.alias("up")))
     out = settled[0]
     for more in settled[1:]:
         out = out.unionByName(more)
@@ -159,8 +166,9 @@ def mix(
     texts; everything else works on (source, size) and joins the copies by row number.
     """
     added = [prefix + c for c in ("size", "source_size", "target", "copies")]
+    replaced = {c.lower() for c in added}
     rows = docs.select(
-        *[docs[c] for c in docs.columns if c not in added],
+        *[docs[c] for c in docs.columns if c.lower() not in replaced],
         words(docs[text]).alias("__size"),
         F.xxhash64(docs[doc_id], docs[text]).alias("__tie"),
         F.monotonically_increasing_id().alias("__row"),
@@ -180,11 +188,14 @@ def mix(
     for number in range(CLASSES):
         own = placed.filter(F.col("class") == number)
         rest = placed.filter(F.col("class") >= number).groupBy("source").agg(
-            F.sum("size").alias("words")
+            F.sum("size").alias("words"),
+            F.sum(F.when(F.col("class") > number, F.col("size")).otherwise(0)).alias("later"),
         )
         times = F.least(F.greatest(F.col("left") / F.col("words"), F.lit(0.0)), F.lit(MOST_TIMES))
         rate = left.join(rest, left["source"].eqNullSafe(rest["source"])).select(
-            left["source"].alias("of"), times.alias("times")
+            left["source"].alias("of"), times.alias("times"),
+            (times * F.col("later")).alias("planned"),
+            (F.lit(MOST_TIMES) * F.col("later")).cast("double").alias("limit"),
         )
         rated = own.join(if_small(rate), own["source"].eqNullSafe(F.col("of"))).select(
             "source", "row", "key", F.col("size").cast("double").alias("size"),
@@ -194,7 +205,7 @@ def mix(
         rated = stage(rated, "rated")
         ups = _settle(
             rated.filter("mass > 0").select("source", "key", "size", "mass"),
-            f"{seed}:{number}", total,
+            f"{seed}:{number}", total, rate.select("of", "planned", "limit"),
         )
         taken = rated.join(ups.filter("up").select("key", "up"), "key", "left").select(
             "source", "row", "size",
@@ -216,7 +227,7 @@ def mix(
         many, F.col(f"`{source}`").cast("string").eqNullSafe(F.col("__goal_source")), "left"
     )
     return out.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in added],
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in replaced],
         F.col("__size").alias(added[0]),
         F.col("__goal_source_size").alias(added[1]),
         F.col("__goal_target").alias(added[2]),

@@ -27,8 +27,8 @@ from lectern.llm.common import append_columns, encoded
 WIDTH, FILTERS, STEP, HIDDEN = 6, 24, 128, 8
 #: Labelled documents that the network is fitted on, at most (a hash picks them).
 FIT_ROWS = 4_000
-#: Bytes of each of them, in one stretch that starts at a place picked by a hash.
-FIT_BYTES = 4_096
+#: Bytes of all their texts, at most about: where texts are long, fewer rows are picked.
+FIT_BYTES = 32 << 20
 #: Documents with at least this probability of label 1 count as good.
 LEAST_QUALITY = 0.3
 #: Steps of gradient descent, so that few labelled rows are gone over more often.
@@ -201,9 +201,10 @@ def fit(
 ) -> Network:
     """Fit on about ``rows`` labelled documents where ``learn`` holds, or on all if fewer.
 
-    A document's label is the mean of its non-null labels, at 0.5 or more 1. The rows are
-    counted first, then picked by a hash, and so is the stretch of ``FIT_BYTES`` bytes that
-    is taken of each: what the driver receives is bounded.
+    A document's label is the mean of its non-null labels, at 0.5 or more 1. Labelled rows
+    and their bytes are counted first; a hash of id and text then picks rows, so that the
+    whole texts of those picked have about ``rows`` rows and ``FIT_BYTES`` bytes at most.
+    Rows that repeat an id and its text count once when they are picked.
     """
     marks = (
         labels.filter(F.col(label).isNotNull())
@@ -211,21 +212,19 @@ def fit(
         .agg((F.avg(label) >= 0.5).cast("int").alias("__label"))
     )
     raw = F.encode(F.coalesce(docs[text], F.lit("")), "UTF-8")
-    spare = F.greatest(F.octet_length(raw) - FIT_BYTES + 1, F.lit(1))
-    start = F.pmod(F.xxhash64(docs[text], F.lit(1)), spare).cast("int") + 1
-    learned = docs.filter(learn)
-    known = learned.select(docs[doc_id].alias("__id")).join(marks, "__id").count()
-    place = F.pmod(F.xxhash64(docs[doc_id]), F.lit(1 << 30))
+    learned = docs.filter(learn).select(
+        docs[doc_id].alias("__id"), raw.alias("__bytes"),
+        F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(1 << 30)).alias("__place"),
+    )
+    known = learned.join(marks, "__id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("__bytes")).alias("bytes")
+    ).first()
+    share = min(1.0, rows / max(known.rows, 1), FIT_BYTES / max(known.bytes or 0, 1))
     chosen = (
-        learned.filter(place <= int((1 << 30) * min(1.0, rows / max(known, 1))))
-        .select(
-            docs[doc_id].alias("__id"),
-            raw.substr(start, F.lit(FIT_BYTES)).alias("__bytes"),
-            place.alias("__place"),
-        )
+        learned.filter(F.col("__place") <= int((1 << 30) * share))
         .join(marks, "__id")
+        .dropDuplicates(["__id", "__place"])
         .select("__place", "__bytes", "__label")
-        .limit(2 * rows)
         .collect()
     )
     chosen.sort()

@@ -105,7 +105,7 @@ def assign(
     """
     names = ["home_shard", "shard", "slot", "hops"]
     points = ring(shards, virtual)
-    kept = [F.col(f"`{c}`").alias(f"_{c}") for c in rows.columns if c not in names]
+    kept = [F.col(f"`{c}`").alias(f"_{c}") for c in rows.columns if c.lower() not in names]
     named = rows.select(*kept, ring_hash(rows[key]).alias("place"), *[
         t.alias(f"tie{i}") for i, t in enumerate(tie)
     ])
@@ -123,7 +123,7 @@ def assign(
         & (F.col("rank") < F.col("end")),
     )
     return found.select(
-        *[F.col(f"`_{c}`").alias(c) for c in rows.columns if c not in names],
+        *[F.col(f"`_{c}`").alias(c) for c in rows.columns if c.lower() not in names],
         "home_shard",
         "shard",
         (F.col("base") + F.col("rank") - F.col("first")).alias("slot"),

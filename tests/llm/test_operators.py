@@ -12,7 +12,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from lectern.llm import (
@@ -188,13 +190,14 @@ def test_language_scores_are_multinomial_bayes(spark):
         for gram in language._grams(language._codes("abcb")).tolist():
             log[lang] += np.log((own[gram] + 1) / total)
     want = 1 / (1 + np.exp(log["y"] - log["x"]))
-    names, scores = language.score_texts(model, ["abcb"])
+    names, tops, masses = language.score_texts(model.blocks[0], ["abcb"])
+    scores = [1 / m for m in masses]
     assert names == ["x" if want >= 0.5 else "y"]
     assert scores[0] == pytest.approx(max(want, 1 - want), abs=1e-5)
 
 
 def test_long_texts_are_scored_in_slices():
-    model = language.Model(["a", "b"], np.random.rand(language.BUCKETS, 2).astype("f4"), np.zeros(2))
+    model = language.Block(["a", "b"], np.random.rand(language.BUCKETS, 2).astype("f4"), np.zeros(2))
     text = "xyz " * (language.SLICE // 3)
     sums = model.weights[language._grams(language._codes(text))].sum(axis=0, dtype=float)
     whole = sum(max(0, len(text) - n + 1) for n in (1, 2, 3))
@@ -526,6 +529,122 @@ def test_fingerprints(spark, odd, empty):
     assert alone.edited_sha256 == hashlib.sha256(b"ono").hexdigest() and alone.near_next == 1
 
 
+def test_more_languages_than_a_block(spark):
+    rows = [(i, chr(0x4E00 + i % 300) * 9, f"l{i % 300:03d}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.lit(True))
+    assert len(model.languages) == 300 and len(model.blocks) == 2
+    got = language.predict(docs.withColumn("SCORE", F.lit("old")), model)
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    found = got.collect()
+    assert all(r.lang_pred == r.lang for r in found) and all(0.3 < r.score <= 1 for r in found)
+    # As with one block of all languages.
+    weights = np.concatenate([b.weights for b in model.blocks], axis=1)
+    prior = np.concatenate([b.prior for b in model.blocks])
+    whole = language.Block(model.languages, weights, prior)
+    names, _, masses = language.score_texts(whole, [r.text for r in found])
+    assert names == [r.lang_pred for r in found]
+    assert np.allclose([r.score for r in found], [1 / m for m in masses])
+
+
+def test_a_quality_model_learns_from_whole_long_texts(spark):
+    """What tells the labels apart stands at the end of long texts."""
+    filler = " ".join(f"w{k % 91}" for k in range(1500))
+    rows = [(i, filler + (" GOOD" * 300 if i % 2 else " bad?" * 300)) for i in range(40)]
+    docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    found = quality.score(docs, quality.fit(docs, labels, F.lit(True))).collect()
+    assert all((r.score > 0.5) == bool(r.doc_id % 2) for r in found)
+
+
+@pytest.mark.parametrize("seed", range(17, 22))
+def test_the_last_large_document_goes_where_the_rest_can_follow(spark, seed):
+    """A source of 4,000 words with one document of 3,000, and a target of 5,333."""
+    rows = [(0, "w " * 3000, "b"), *[(i, "w " * 50, "b") for i in range(1, 21)]]
+    rows += [(100 + i, "w " * 100, s) for s, n in (("a", 40), ("c", 40)) for i in range(n)]
+    docs = spark.createDataFrame(
+        [(i, t, s, 1, "x") for i, t, s in rows], "doc_id long, text string, source string, SIZE int, Copies string"
+    )
+    got = mixing.mix(docs, seed=seed)
+    assert sum(c.lower() == "size" for c in got.columns) == 1
+    own = got.groupBy("source").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target")
+    )
+    for r in own.collect():
+        assert abs(r.taken - r.target) <= 0.02 * r.target
+
+
+def test_sharding_replaces_clashing_columns(spark):
+    rows = spark.range(40).withColumn("Shard", F.lit("old")).withColumn("SLOT", F.lit("old"))
+    got = sharding.assign(rows, "id", 4)
+    assert got.columns == ["id", "home_shard", "shard", "slot", "hops"]
+    assert got.select("shard").distinct().count() == 4
+
+
+def spark_hash(value, seed=42):
+    raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
+    return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(raw, seed)))[0]
+
+
+def brute_fingerprints(texts):
+    """The fingerprint of any text, by the lexicon of ``texts``."""
+
+    def terms(text):
+        words = {w for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w}
+        return {spark_hash(w) for w in words}
+
+    df = collections.Counter(t for text in texts for t in terms(text))
+    low, high = max(2, imatch.LOW * len(texts)), imatch.HIGH * len(texts)
+    listed = {t for t, n in df.items() if low <= n <= max(high, low)}
+
+    def fingerprint(text):
+        own = sorted((terms(text) & listed) or terms(text))
+        parts = []
+        for k in range(imatch.SUBSETS):
+            part = [t for t in own if (t >> 20) % imatch.SUBSETS == k]
+            h = 42
+            for t in part:
+                h = spark_hash(t, h % 2**64)
+            parts.append(f"{h % 2**64:016x}"[-imatch.DIGITS :] if part else imatch.EMPTY)
+        return parts
+
+    return fingerprint
+
+
+def brute_likeness(one, two):
+    if one == two:
+        return 1.0
+    held = [(a, b) for a, b in zip(one, two) if a != imatch.EMPTY or b != imatch.EMPTY]
+    return sum(a == b != imatch.EMPTY for a, b in held) / len(held)
+
+
+@pytest.mark.parametrize("table_terms", [imatch.LEXICON, 5])
+def test_fingerprints_and_likeness_by_brute_force(spark, monkeypatch, table_terms):
+    """Whether the lexicon is a table or is joined, fingerprints are the same."""
+    monkeypatch.setattr(imatch, "LEXICON", table_terms)
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(rng.choice(words, rng.integers(3, 90))) for _ in range(60)]
+    texts += [texts[0], "", None, "only here", "Été, ÉTÉ w1-w2", "!!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fingerprint = brute_fingerprints(texts)
+    got = {r.doc_id: r for r in imatch.compare_edited(docs.repartition(3)).collect()}
+    for i, text in enumerate(texts):
+        text, after = text or "", texts[(i + 1) % len(texts)] or ""
+        half = len(text) // 2
+        own, edit = fingerprint(text), fingerprint(text[: len(text) - half] + after[:half])
+        assert got[i].fingerprint == "".join(own) and got[i].edited_fingerprint == "".join(edit)
+        assert got[i].near_edited == pytest.approx(brute_likeness(own, edit))
+        assert got[i].near_next == pytest.approx(brute_likeness(own, fingerprint(after)))
+
+
+def test_a_lexicon_does_not_narrow_with_long_texts(spark):
+    words = " ".join(f"w{k}" for k in range(3000))
+    rows = [(i, words if i < 4 else f"text {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert imatch.lexicon(docs).count() == 3000
+
+
 def test_lexicon_is_the_band(spark):
     rows = [(i, " ".join(f"t{k}" for k in range(1, 41) if i % k == 0)) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
