@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import components, encoded, if_small, mixed, small_batches
+from lectern.operators.skew import lookup_join
 from lectern.scratch import stage
 
 SHINGLE, PERCENT = 5, 80
@@ -54,6 +55,8 @@ SHINGLE, PERCENT = 5, 80
 FREQUENT = 1 << 17
 #: Rounds that compare lists with their heads before what is left is compared in pairs.
 ROUNDS = 2
+#: Sets with more copies than this get their labels by broadcast, as far as these are few.
+HOT_COPIES = 100
 #: Hubs per component that sets may group around when links are counted.
 HUBS = 3
 #: Bands of sizes per factor of 100 / PERCENT in which groups meet.
@@ -566,6 +569,8 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, rounds: int)
     """The sets' rows, their classes, the index, links that join components, and roots."""
     small_batches(docs.sparkSession)
     rows = stage(_sets(docs, doc_id, text, percent), "sets")
+    again = rows.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    repeated = again.limit(1).count() > 0
     classes = rows.groupBy("hi", "lo", "n").agg(
         F.min("doc_id").alias("label"),
         F.min(F.struct("doc_id", "text_hash")).alias("one"),
@@ -598,7 +603,9 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, rounds: int)
             wanted = _members(based.select("a", F.coalesce("base", "b").alias("b")))
         if sets is not None:
             wanted = wanted.join(sets, "class", "left_anti")
-        more = stage(_bodies(docs, classes, stage(wanted, "wanted"), doc_id, text), "bodies")
+        more = _bodies(docs, classes, stage(wanted, "wanted"), doc_id, text)
+        # Where rows repeat, each of them has the body of their class; one is enough.
+        more = stage(more.dropDuplicates(["class"]) if repeated else more, "bodies")
         sets = more if sets is None else sets.unionByName(more)
         found = stage(_checked(pairs, sets, near, percent), "links")
         own = found.select("a", "b")
@@ -787,7 +794,11 @@ def _labelled(
     labels = labels.select("hi", "lo", F.col("n").alias("of_n"), "component")
     if counts is not None:
         labels = labels.join(counts, ["hi", "lo"])
-    found = rows.select("doc_id", "n", "hi", "lo").join(labels, ["hi", "lo"])
+    copies = classes.select("hi", "lo", F.col("copies").alias("n"))
+    found = lookup_join(
+        rows.select("doc_id", "n", "hi", "lo"), labels, ["hi", "lo"],
+        hot_rows=HOT_COPIES, counted=copies,
+    )
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -581,6 +581,27 @@ def test_sharding_replaces_clashing_columns(spark):
     assert got.select("shard").distinct().count() == 4
 
 
+def test_repeated_rows_have_one_body(spark, monkeypatch):
+    """Sixty repeats of two similar texts are compared once."""
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = spark.createDataFrame(
+        [(1, text)] * 60 + [(2, text + " more")] * 60, "doc_id long, text string"
+    )
+    compared = []
+    whole = jaccard._overlaps
+
+    def counted(pairs, sets, percent):
+        found = whole(pairs, sets, percent)
+        compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_overlaps", counted)
+    monkeypatch.setattr(jaccard, "HOT_COPIES", 50)
+    got = jaccard.count_links(docs).distinct().collect()
+    assert sorted(tuple(r)[2:] for r in got) == [(1, 119), (1, 119)]
+    assert max(compared) <= 1
+
+
 def spark_hash(value, seed=42):
     raw = value.encode() if isinstance(value, str) else struct.pack("<q", value)
     return struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(raw, seed)))[0]
