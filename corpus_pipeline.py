@@ -34,7 +34,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned; those without letters go."""
+    """Documents whose language can be told.
+
+    The score is a posterior over the learned languages and near 1 for all but the shortest
+    texts: those without a letter go, and those too short to tell; a longer text in a
+    language that was not learned stays, under the learned one that is nearest to it.
+    """
     model = language.fit(docs, F.coalesce(fold(3) != 1, F.lit(False)))
     found = language.predict(docs, model, lang="__lang", score="__score")
     certain = (F.col("__lang") != language.UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE)
