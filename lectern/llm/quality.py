@@ -212,18 +212,21 @@ def fit(
         .agg((F.avg(label) >= 0.5).cast("int").alias("__label"))
     )
     raw = F.encode(F.coalesce(docs[text], F.lit("")), "UTF-8")
-    learned = docs.filter(learn).select(
-        docs[doc_id].alias("__id"), raw.alias("__bytes"),
+    learned, key = docs.filter(learn), ["__id", "__place"]
+    named = [
+        docs[doc_id].alias("__id"),
         F.pmod(F.xxhash64(docs[doc_id], docs[text]), F.lit(1 << 30)).alias("__place"),
-    )
-    known = learned.join(marks, "__id").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("__bytes")).alias("bytes")
-    ).first()
+    ]
+    # Rows are counted and picked without their texts.
+    sizes = learned.select(*named, F.octet_length(raw).alias("__size")).join(marks, "__id")
+    known = sizes.agg(F.count(F.lit(1)).alias("rows"), F.sum("__size").alias("bytes")).first()
     share = min(1.0, rows / max(known.rows, 1), FIT_BYTES / max(known.bytes or 0, 1))
+    picked = sizes.filter(F.col("__place") <= int((1 << 30) * share))
+    picked = picked.select(*key, "__label").dropDuplicates(key)
     chosen = (
-        learned.filter(F.col("__place") <= int((1 << 30) * share))
-        .join(marks, "__id")
-        .dropDuplicates(["__id", "__place"])
+        learned.select(*named, raw.alias("__bytes"))
+        .join(F.broadcast(picked), key)
+        .dropDuplicates(key)
         .select("__place", "__bytes", "__label")
         .collect()
     )
