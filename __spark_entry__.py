@@ -10,7 +10,7 @@ import importlib
 from collections.abc import Callable
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lectern import testdata_views as V
@@ -18,7 +18,12 @@ from lectern.functions import normalize as N
 from lectern.functions.text import highlight
 from lectern.functions.vocabulary import LANGUAGE_GROUPS, STOP_WORDS
 from lectern.operators import facets, merge
-from lectern.operators.cluster import cluster_courses, with_cluster_text
+from lectern.operators.cluster import (
+    assign_clusters,
+    cluster_courses,
+    store_clusters,
+    with_cluster_text,
+)
 from lectern.operators.features import postings_of, text_groups, weighted_terms
 from lectern.operators.filters import CourseFilter, apply_filter, with_filter_columns
 from lectern.operators.paging import clamp_page, page_count
@@ -214,6 +219,25 @@ def ingest_coursera(spark, sf_dir):
     return merged.select(*CATALOG_COLUMNS)
 
 
+def ingest_paged(spark, sf_dir):
+    folder = V.paged_coursera_feed(spark, sf_dir)
+    merged = harvest(spark, "coursera-paged", folder, _empty_catalog(spark), AS_OF)
+    return merged.select(*CATALOG_COLUMNS)
+
+
+def harvest_counts(spark, sf_dir):
+    """What each harvest accepted, counted while its batch is written."""
+    found = []
+    for source, folder, reading in (
+        ("edx", V.written_edx_feed(spark, sf_dir), {"pattern": "*.csv"}),
+        ("coursera-paged", V.paged_coursera_feed(spark, sf_dir), {}),
+    ):
+        counts = Observation()
+        harvest(spark, source, folder, _empty_catalog(spark), AS_OF, observed=counts, **reading)
+        found.append((source, counts.get["accepted"]))
+    return spark.createDataFrame(found, "source string, accepted long")
+
+
 def _unified_feeds(spark, sf_dir):
     edx = V.edx_feed(spark, sf_dir).fillna("").withColumn(merge.SEQUENCE, F.lit(0))
     coursera = V.coursera_feed(spark, sf_dir).select(
@@ -352,6 +376,24 @@ def clusters(spark, sf_dir):
     return cluster_courses(V.courses(spark, sf_dir, skills=True)).select("_id", "cluster")
 
 
+def clusters_assigned(spark, sf_dir):
+    """All courses by clusters that were fitted on those with skills, and stored."""
+    courses, path = V.courses(spark, sf_dir, skills=True), scratch_path(spark, "clusters")
+    store_clusters(courses.filter("skills IS NOT NULL"), path)
+    return assign_clusters(spark, courses, path).select("_id", "cluster")
+
+
+def sync_paged(spark, sf_dir):
+    """The paged feed as a stream into a stored catalog."""
+    store = CatalogStore(spark, scratch_path(spark, "catalog"))
+    store.upsert(V.courses(spark, sf_dir, skills=True))
+    folder = V.paged_coursera_feed(spark, sf_dir)
+    sync_available_now(
+        spark, "coursera-paged", folder, store, scratch_path(spark, "sync"), AS_OF
+    )
+    return store.read().select(*CATALOG_COLUMNS)
+
+
 def sync_incremental(spark, sf_dir):
     folder = V.written_coursera_feed(spark, sf_dir, files=2)
     store = CatalogStore(spark, scratch_path(spark, "catalog"))
@@ -476,6 +518,10 @@ def own_queries() -> dict[str, Query]:
         "search_indexed_short": _indexed("n."),
         "list_page_deep": list_page_deep,
         "merge_by_id": merge_by_id,
+        "ingest_paged": ingest_paged,
+        "sync_paged": sync_paged,
+        "harvest_counts": harvest_counts,
+        "clusters_assigned": clusters_assigned,
         "upsert_partitions": upsert_partitions,
         "kept_facet_categories": kept_facet_categories,
         "kept_facet_languages": kept_facet_languages,
@@ -607,6 +653,8 @@ def own_oracle_sql() -> dict[str, str]:
     found = _twins()
     found["similar_bucketed"] = found["similar_courses"]
     found["suggestions_bucketed"] = found["suggestions_all"]
+    found["ingest_paged"] = found["ingest_coursera"]
+    found["sync_paged"] = found["sync_available_now"]
     return found
 
 
@@ -697,6 +745,12 @@ def _twins() -> dict[str, str]:
                 SELECT source_repository, title, original_url FROM unified_edx UNION ALL
                 SELECT source_repository, title, original_url FROM unified_coursera)
             WHERE title <> '' AND original_url <> '' GROUP BY source_repository""",
+        "harvest_counts": f"""WITH {V.EDX_FEED_SQL}, {_EDX_SQL},
+            {V.COURSERA_FEED_SQL}, {_COURSERA_SQL}
+            SELECT 'edx' AS source, count(*) AS accepted
+            FROM unified_edx WHERE title <> '' AND original_url <> ''
+            UNION ALL SELECT 'coursera-paged', count(*)
+            FROM unified_coursera WHERE title <> '' AND original_url <> ''""",
         "union_sources": f"""WITH {V.EDX_FEED_SQL}, {_EDX_SQL},
             {V.COURSERA_FEED_SQL}, {_COURSERA_SQL}
             SELECT title, description, category, CAST(NULL AS VARCHAR) AS skills, level,

@@ -15,6 +15,7 @@ from lectern.functions import normalize as N
 from lectern.functions.vocabulary import CSV_MISSING
 from lectern.operators.merge import SEQUENCE
 from lectern.schema import COURSERA_PAGE, EDX_COLUMNS
+from lectern.sources.paged import LENGTH, read_pages
 
 EDX_FILES = "*[eE][dD][xX]*.csv"  # file names, not folders
 CSV_OPTIONS = {
@@ -86,6 +87,16 @@ def read_coursera_pages(
     return coursera_records(with_file(pages))
 
 
+def paged_records(rows: DataFrame) -> DataFrame:
+    """Records of rows (page, pos, row) of a paged feed, in the order of the pages."""
+    return rows.select("row.*", F.struct("page", "pos").alias(SEQUENCE))
+
+
+def read_coursera_paged(spark: SparkSession, folder: str, length: int = LENGTH) -> DataFrame:
+    """A paged feed up to its first empty page, one task per page."""
+    return paged_records(read_pages(spark, folder, length))
+
+
 def unified_edx(records: DataFrame, as_of: datetime.datetime) -> DataFrame:
     """edX records as courses (this feed knows no skills)."""
     return records.select(

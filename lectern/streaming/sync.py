@@ -11,6 +11,7 @@ from lectern.schema import COURSERA_PAGE
 from lectern.scratch import stage
 from lectern.sources import feeds
 from lectern.sources.catalog import CatalogStore
+from lectern.sources.paged import stream_pages
 
 
 def _feed_stream(
@@ -31,6 +32,7 @@ def _feed_stream(
 FEEDS = {
     "edx": (feeds.edx_records, feeds.unified_edx),
     "coursera": (feeds.coursera_records, feeds.unified_coursera),
+    "coursera-paged": (feeds.paged_records, feeds.unified_coursera),
 }
 
 
@@ -46,7 +48,8 @@ def sync_available_now(
 ) -> None:
     """Merge all new files of ``folder`` into ``store``, then stop.
 
-    All new files are one batch, and so one merge, unless ``files_per_batch`` is set. A
+    All new files (or pages of a paged feed) are one batch, and so one merge, unless
+    ``files_per_batch`` is set; of a paged feed, a run takes that many pages at most. A
     batch rewrites the partitions of ``store`` that its URLs fall into. Merging a batch
     once more changes nothing, so a batch that is replayed after a failure, another
     checkpoint, or another folder with the same records does no harm. The checkpoint
@@ -56,7 +59,10 @@ def sync_available_now(
     if source not in FEEDS:
         raise ValueError(f"unknown source {source!r}: use one of {sorted(FEEDS)}")
     records, unify = FEEDS[source]
-    raw = feeds.with_file(_feed_stream(spark, source, folder, files_per_batch, pattern))
+    if source == "coursera-paged":
+        raw = stream_pages(spark, folder, max_pages=files_per_batch)
+    else:
+        raw = feeds.with_file(_feed_stream(spark, source, folder, files_per_batch, pattern))
 
     def apply(batch: DataFrame, number: int) -> None:
         last = last_per_key(accepted(unify(records(batch), as_of)), "original_url")

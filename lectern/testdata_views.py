@@ -149,14 +149,26 @@ def written_edx_feed(spark: SparkSession, sf_dir: str, files: int | None = None)
     return path
 
 
-def written_coursera_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
-    """The second feed as saved pages of 100 rows; returns their folder."""
-    pages = (
+def _coursera_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of the 100 rows at most whose ids are from ``offset`` on."""
+    return (
         coursera_feed(spark, sf_dir)
-        .groupBy(F.floor(F.col("page_id") / 100).alias("offset"))
+        .groupBy((F.floor(F.col("page_id") / 100) * 100).alias("offset"))
         .agg(F.sort_array(F.collect_list(F.struct("page_id", "row"))).alias("rows"))
-        .select(F.transform("rows", lambda r: F.struct(r["row"].alias("row"))).alias("rows"))
+        .withColumn("rows", F.transform("rows", lambda r: F.struct(r["row"].alias("row"))))
     )
+
+
+def paged_coursera_feed(spark: SparkSession, sf_dir: str) -> str:
+    """The second feed with a folder per page; returns the folder of these."""
+    path = scratch_path(spark, "coursera-paged")
+    _coursera_pages(spark, sf_dir).write.partitionBy("offset").json(path)
+    return path
+
+
+def written_coursera_feed(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """The second feed as saved pages of 100 rows; returns their folder."""
+    pages = _coursera_pages(spark, sf_dir).select("rows")
     path = scratch_path(spark, "coursera-feed")
     (pages.repartition(files) if files else pages).write.json(path)
     return path

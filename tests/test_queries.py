@@ -8,7 +8,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"lsh_recall", "similar_pairs_lsh", "top5_similar_lsh", "cluster_courses"}
+SLOW = {
+    "lsh_recall", "similar_pairs_lsh", "top5_similar_lsh", "cluster_courses", "clusters_assigned",
+}
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test tables")
 
