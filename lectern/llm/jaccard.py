@@ -28,11 +28,12 @@ integers: ``100 * intersection >= PERCENT * union``.
 
 ``count_links`` also counts every link, in a second pass over the linked sets:
 
-6. Sets so near to a hub of their component that any two of them link form a group, which
-   is one entry of the index. Groups of one component meet by shingle and by a band of
-   sizes; an entry meets only the bands that its position leaves open. Their heads'
-   overlap settles all pairs of two groups at once where what members lack and add can't
-   change it; where it can, pairs of members are checked by their whole sets.
+6. In a component too large for one cell, sets so near to a hub that any two of them link
+   need no comparison. All others are dealt to blocks by hash, and a cell of two blocks
+   counts each set's links by its shared shingles, in a sparse-to-dense product. No pair is
+   emitted: a cell returns a row per set. Small components are packed into cells whole. The
+   blocks' number grows with a component, so a set is sent to as many cells as it has
+   blocks; a cell's rows and shingles stay bounded.
 
 Copies, ties and repeated rows link as their sets do. The result has a row per input row.
 """
@@ -42,8 +43,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.common import components, encoded, if_small, mixed, small_batches
@@ -57,10 +59,14 @@ FREQUENT = 1 << 17
 ROUNDS = 2
 #: Sets with more copies than this get their labels by broadcast, as far as these are few.
 HOT_COPIES = 100
-#: Hubs per component that sets may group around when links are counted.
-HUBS = 3
-#: Bands of sizes per factor of 100 / PERCENT in which groups meet.
-BANDS = 4
+#: Hubs per large component that sets may group around when links are counted, and the
+#: sets that such a group has at least.
+HUBS, TIGHT = 3, 16
+#: Classes and shingles of a block whose links are counted at once. Components of up to as
+#: many classes are packed; blocks of very large ones have up to 16 times as many.
+CELL, CELL_TOKENS = 64, 1 << 18
+# Shingles per product of a cell.
+COLUMNS = 4096
 # Bytes of text and shingles that are worked on at once.
 PIECE, COUNTED = 1 << 19, 1 << 21
 # A set is kept as a difference from its head if it differs in at most this share.
@@ -540,7 +546,7 @@ def join(
     ``component_id`` is the smallest id reachable by links, the own one included.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text))
-    rows, classes, _, _, roots = _linked(docs, doc_id, text, percent, rounds)
+    rows, classes, _, roots = _linked(docs, doc_id, text, percent, rounds)
     return _labelled(rows, classes, roots)
 
 
@@ -553,11 +559,11 @@ def count_links(
 ) -> DataFrame:
     """``join`` with ``n_links``: how many other rows a row's set links with, all counted."""
     docs = docs.select(F.col(doc_id).cast("long").alias(doc_id), F.col(text).alias(text))
-    rows, classes, lists, links, roots = _linked(docs, doc_id, text, percent, rounds)
+    rows, classes, links, roots = _linked(docs, doc_id, text, percent, rounds)
     counts = classes.select("class", F.lit(0).alias("more")).limit(0)
     if links is not None:
         groups, sets = _groups(docs, classes, links, roots, percent, doc_id, text)
-        counts = _counted(classes, lists, groups, sets, percent)
+        counts = _counted(groups, sets, percent)
     n_links = F.coalesce("more", F.col("copies") - 1)
     counts = classes.join(counts, "class", "left").select(
         "hi", "lo", F.when(F.col("n") > 0, n_links).otherwise(0).cast("long").alias("n_links")
@@ -566,7 +572,7 @@ def count_links(
 
 
 def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, rounds: int) -> tuple:
-    """The sets' rows, their classes, the index, links that join components, and roots."""
+    """The sets' rows, their classes, links that join components, and roots."""
     small_batches(docs.sparkSession)
     rows = stage(_sets(docs, doc_id, text, percent), "sets")
     again = rows.groupBy("doc_id", "text_hash").count().filter("count > 1")
@@ -619,36 +625,34 @@ def _linked(docs: DataFrame, doc_id: str, text: str, percent: int, rounds: int)
                 "near",
             )
         roots = components(links)
-    return rows, classes, lists, links, roots
+    return rows, classes, links, roots
 
 
 def _groups(
     docs: DataFrame, classes: DataFrame, links: DataFrame, roots: DataFrame, percent: int,
     doc_id: str, text: str,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows (class, root, head, n, copies, sure, out) of all classes with links; their sets.
+    """Rows (class, root, head, n, copies) of all classes with links; their sets.
 
-    Two classes whose sets' heads have ``k`` elements in common link if the sum of their
-    ``sure`` is at most (100 + percent) * k, and don't if that of their ``out`` is more.
-    Any two classes of one head link.
+    Any two classes of one ``head`` link, since their sets are that near to its set. It is
+    null where there is none, and in components that fit in a cell, which need none.
     """
     degrees = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").count()
     placed = degrees.join(roots, degrees["class"] == F.col("node"), "left").select(
         "class", "count", F.coalesce("root", "class").alias("root")
     )
     placed = placed.join(classes.select("class", "n", "copies"), "class")
-    placed = left = stage(placed, "placed")
+    placed = stage(placed, "placed")
     sets = _bodies(docs, classes, placed.select("class"), doc_id, text)
     sets = stage(sets.dropDuplicates(["class"]), "linked_sets")  # repeated rows have one
-    members = None
+    large = placed.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    large = stage(large.filter(F.col("size") > CELL).select("root"), "large")
+    left, members = placed.join(if_small(large), "root", "left_semi"), None
     for _ in range(HUBS):
         hubs = left.groupBy("root").agg(
-            F.max_by(F.struct("class", "n"), F.struct("count", "class")).alias("hub"),
-            F.count(F.lit(1)).alias("size"),
-        )
-        hubs = hubs.filter("size > 2").select(
-            "root", F.col("hub.class").alias("a"), F.col("hub.n").alias("of_n")
+            F.max_by(F.struct("class", "n"), F.struct("count", "class")).alias("hub")
         )
+        hubs = hubs.select("root", F.col("hub.class").alias("a"), F.col("hub.n").alias("of_n"))
         hubs = stage(hubs, "hubs")
         if not hubs.limit(1).count():
             break
@@ -656,120 +660,130 @@ def _groups(
             f"class <> a AND 100 * least(n, of_n) >= {percent} * greatest(n, of_n)"
         )
         found = _overlaps(pairs.select("a", F.col("class").alias("b")), sets, percent)
-        found = found.select(
-            F.col("b").alias("class"), F.col("a").alias("head"), "n_a",
-            (F.col("n_a") - F.col("common")).alias("lacks"),
-            (F.col("n_b") - F.col("common")).alias("adds"),
-        ).filter(f"2 * (100 * lacks + {percent} * adds) <= {100 - percent} * n_a").drop("n_a")
-        own = hubs.select(
-            F.col("a").alias("class"), F.col("a").alias("head"),
-            F.lit(0).cast("long").alias("lacks"), F.lit(0).cast("long").alias("adds"),
-        )
+        found = found.filter(
+            f"2 * (100 * (n_a - common) + {percent} * (n_b - common)) <= {100 - percent} * n_a"
+        ).select(F.col("b").alias("class"), F.col("a").alias("head"))
+        own = hubs.select(F.col("a").alias("class"), F.col("a").alias("head"))
         found = stage(found.unionByName(own), "near_hubs")
         members = found if members is None else members.unionByName(found)
         left = stage(left.join(found, "class", "left_anti"), "left")
     if members is None:
-        placed = placed.withColumns({"head": F.col("class"), "lacks": F.lit(0), "adds": F.lit(0)})
+        groups = placed.withColumn("head", F.lit(None).cast("long"))
     else:
-        placed = placed.join(members, "class", "left")
-    groups = placed.select(
-        "class", "root", F.coalesce("head", "class").alias("head"), "n", "copies",
-        F.expr(f"{100 + percent} * coalesce(lacks, 0) + {percent} * n").alias("sure"),
-        F.expr(f"{percent} * n - {100 + percent} * coalesce(adds, 0)").alias("out"),
-    )
-    return stage(groups, "groups"), sets
+        many = members.groupBy("head").count().filter(F.col("count") >= TIGHT).select("head")
+        members = members.join(if_small(stage(many, "tight")), "head", "left_semi")
+        groups = placed.join(members, "class", "left")
+    return stage(groups.select("class", "root", "head", "n", "copies"), "groups"), sets
 
 
-def _group_pairs(lists: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of heads whose groups have members that may link.
+def _cells(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows (big, cell, low, high, block, class, n, copies, elements), one per cell of a class.
 
-    ``cap`` is the largest set that an entry's position lets it link with.
+    Components of up to ``CELL`` classes are packed into cells whole. The classes of a larger
+    one are dealt to blocks, those of one head to blocks of their own, and a cell holds two
+    blocks, or one: every two blocks meet once, but for those of one head.
     """
-
-    def band(n: str):
-        return F.floor(F.log(F.col(n)) * BANDS / F.log(F.lit(100 / min(percent, 99)))).cast("int")
-
-    entries = lists.join(groups.select("class", "root", "head"), "class").withColumn(
-        "cap", F.expr(f"(100 * n - {100 + percent} * pos) div {percent}")
-    )
-    entries = stage(entries.withColumn("band", band("n")).filter("cap > 0"), "linked_lists")
-    key = ["token", "root", "band"]
-    reach = [F.min("n").alias("n"), F.max("cap").alias("cap")]
-    one = entries.groupBy(*key, F.col("head").alias("a")).agg(*reach)
-    two = entries.filter("cap >= n").withColumn(
-        "band", F.explode(F.sequence(F.col("band"), band("cap")))
-    )
-    two = two.groupBy(*key, F.col("head").alias("b")).agg(*reach)
-    two = two.withColumnsRenamed({"n": "b_n", "cap": "b_cap"})
-    met = one.join(two, key).filter("a <> b AND b_n <= cap AND n <= b_cap")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _counted(
-    classes: DataFrame, lists: DataFrame, groups: DataFrame, sets: DataFrame, percent: int
-) -> DataFrame:
-    """Rows (class, more): the other rows that each class with links links with."""
-    whole = groups.groupBy("head").agg(
-        F.sum("copies").alias("docs"), F.max("sure").alias("sure"), F.min("out").alias("out"),
-        F.count(F.lit(1)).alias("size"),
+    sized = groups.groupBy("root", F.coalesce("head", F.lit(-1)).alias("team")).agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("tokens")
     )
-    whole = stage(whole, "wholes")
-
-    def with_ends(pairs: DataFrame, of: DataFrame, name: str, ends=("a", "b")) -> DataFrame:
-        for end in ends:
-            columns = [F.col(c).alias(f"{c}_{end}") for c in of.columns if c != name]
-            pairs = pairs.join(of.select(F.col(name).alias(end), *columns), end)
-        return pairs
-
-    pairs = with_ends(_group_pairs(lists, groups, percent), whole.select("head", "size"), "head")
-    pairs = stage(pairs, "group_pairs")
-    alone = pairs.filter("size_a = 1 AND size_b = 1").select("a", "b")
-    pairs = _promising(alone, classes, _members(alone), percent).unionByName(
-        pairs.filter("size_a > 1 OR size_b > 1").select("a", "b")
+    parts = F.expr(
+        f"greatest(1, least(size div {CELL}, greatest(32, size div {16 * CELL})),"
+        f" tokens div {CELL_TOKENS})"
     )
-    met = _overlaps(pairs, sets, percent).select(
-        "a", "b", (F.col("common") * (100 + percent)).alias("k")
+    of_root = Window.partitionBy("root")
+    before = of_root.orderBy("team").rowsBetween(Window.unboundedPreceding, -1)
+    sized = stage(
+        sized.withColumn("parts", parts).select(
+            "root", "team", "parts", "size", "tokens",
+            F.sum("size").over(of_root).alias("whole"),
+            F.sum("parts").over(of_root).alias("blocks"),
+            F.coalesce(F.sum("parts").over(before), F.lit(0)).alias("first"),
+        ),
+        "sized",
     )
-    met = stage(with_ends(met, whole, "head").filter("out_a + out_b <= k"), "groups_met")
-    settled = met.filter("sure_a + sure_b <= k")
-
-    def both_ways(found: DataFrame, size: str, name: str) -> DataFrame:
-        return found.select(F.col("a").alias(name), F.col(f"{size}_b").alias("n")).unionByName(
-            found.select(F.col("b").alias(name), F.col(f"{size}_a").alias("n"))
-        ).groupBy(name).agg(F.sum("n").alias(f"of_{name}"))
-
-    own = groups.select("head", "class", "copies", "sure", "out")
-    opened = met.filter("sure_a + sure_b > k").select("a", "b", "k", "out_b")
-    for end in ("a", "b"):
-        side = own.select(
-            F.col("head").alias(end), F.col("class").alias(f"class_{end}"),
-            F.col("copies").alias(f"copies_{end}"), F.col("sure").alias(f"sure_{end}"),
-            F.col("out").alias(f"own_{end}"),
+    small = sized.filter(F.col("whole") <= CELL)
+    total = small.agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens")).first()
+    packs = 1 + max((total.size or 0) // (4 * CELL), (total.tokens or 0) // CELL_TOKENS)
+    blocks = sized.filter(F.col("whole") > CELL)
+    blocks = if_small(
+        blocks.select(
+            F.col("root").alias("of"), F.col("team").alias("of_team"), "parts", "blocks", "first"
         )
-        opened = opened.join(side, end)
-        opened = opened.filter("own_a + out_b <= k" if end == "a" else "own_a + own_b <= k")
-    opened = stage(
-        opened.select(
-            F.col("class_a").alias("a"), F.col("class_b").alias("b"), "copies_a", "copies_b",
-            (F.col("sure_a") + F.col("sure_b") <= F.col("k")).alias("sure"),
-        ),
-        "opened",
     )
-    unsure = opened.filter("NOT sure")
-    exact = _overlaps(unsure.select("a", "b"), sets, percent).filter(
-        f"100 * common >= {percent} * (n_a + n_b - common)"
+    same = (F.col("root") == F.col("of")) & (
+        F.coalesce("head", F.lit(-1)) == F.col("of_team")
     )
-    single = opened.filter("sure").unionByName(
-        unsure.join(exact.select("a", "b"), ["a", "b"], "left_semi")
+    rows = groups.join(blocks, same, "left").join(sets.select("class", "elements"), "class")
+    rest = ["class", "n", "copies", "elements"]
+    none = F.lit(-1).cast("long")
+    packed = rows.filter("of IS NULL").select(
+        F.lit(False).alias("big"), F.pmod(F.xxhash64("root"), F.lit(packs)).alias("cell"),
+        none.alias("low"), none.alias("high"), none.alias("block"), *rest,
     )
+    block = F.col("first") + F.pmod(F.xxhash64("class"), F.col("parts"))
+    met = rows.filter("of IS NOT NULL").withColumn("block", block.cast("long"))
+    met = met.withColumn("other", F.explode(F.expr("sequence(0L, CAST(blocks - 1 AS BIGINT))")))
+    met = met.filter("head IS NULL OR other < first OR other >= first + parts")
+    met = met.select(
+        F.lit(True).alias("big"), F.col("root").alias("cell"),
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", *rest,
+    )
+    return packed.unionByName(met)
+
+
+def _cell_links(
+    bodies: list[np.ndarray], copies: np.ndarray, side: np.ndarray | None, percent: int
+) -> np.ndarray:
+    """For each set, the copies of those in its cell that it links with.
+
+    ``side`` marks the sets of one of two blocks, which meet those of the other only;
+    without it all meet.
+    """
+    sizes = np.array([len(b) for b in bodies])
+    tokens, place = np.unique(np.concatenate(bodies), return_inverse=True)
+    owner = np.repeat(np.arange(len(bodies)), sizes)
+    shared = np.bincount(place, minlength=len(tokens)) > 1
+    kept = shared[place]
+    at, owner = (np.cumsum(shared) - 1)[place[kept]], owner[kept]
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    every = np.arange(len(bodies))
+    one, two = (every, every) if side is None else (every[side], every[~side])
+    common = np.zeros((len(one), len(two)), np.int64)
+    for start in range(0, int(shared.sum()), COLUMNS):
+        low, high = np.searchsorted(at, [start, start + COLUMNS])
+        has = np.zeros((len(bodies), COLUMNS), np.float32)
+        has[owner[low:high], at[low:high] - start] = 1
+        common += (has[one] @ has[two].T).astype(np.int64)
+    links = 100 * common >= percent * (sizes[one][:, None] + sizes[two][None, :] - common)
+    more = np.zeros(len(bodies), np.int64)
+    if side is None:
+        np.fill_diagonal(links, False)
+        return links @ copies
+    more[one], more[two] = links @ copies[two], copies[one] @ links
+    return more
+
+
+def _counted(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (class, more): the other rows that each class with links links with."""
+
+    def count(cell: pd.DataFrame) -> pd.DataFrame:
+        bodies = [np.frombuffer(e, np.uint64) for e in cell["elements"]]
+        two = cell["low"].iloc[0] != cell["high"].iloc[0]
+        side = (cell["block"] == cell["low"]).to_numpy() if two else None
+        more = _cell_links(bodies, cell["copies"].to_numpy(np.int64), side, percent)
+        return pd.DataFrame({"class": cell["class"], "more": more})
+
+    cells = _cells(groups, sets).groupBy("big", "cell", "low", "high")
+    met = cells.applyInPandas(count, "class long, more long")
+    met = met.groupBy("class").agg(F.sum("more").alias("more"))
+    heads = groups.filter("head IS NOT NULL").groupBy("head").agg(F.sum("copies").alias("docs"))
     return (
-        groups.select("class", "head")
-        .join(whole.select("head", "docs"), "head")
-        .join(both_ways(settled, "docs", "head"), "head", "left")
-        .join(both_ways(single, "copies", "class"), "class", "left")
+        groups.join(if_small(stage(heads, "heads")), "head", "left")
+        .join(met, "class", "left")
         .select(
-            "class",
-            F.expr("docs - 1 + coalesce(of_head, 0) + coalesce(of_class, 0)").alias("more"),
+            "class", F.expr("coalesce(docs, copies) - 1 + coalesce(more, 0)").alias("more")
         )
     )
 

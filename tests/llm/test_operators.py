@@ -340,9 +340,10 @@ def test_jaccard_components_by_brute_force(spark, seed, rounds):
     assert sorted(map(tuple, got)) == sorted(brute_components(rows))
 
 
-@pytest.mark.parametrize("hubs", [3, 0])
-def test_jaccard_counts_every_link(spark, odd, empty, monkeypatch, hubs):
-    monkeypatch.setattr(jaccard, "HUBS", hubs)
+@pytest.mark.parametrize("hubs, tight, cell", [(3, 16, 64), (3, 2, 8), (0, 2, 8)])
+def test_jaccard_counts_every_link(spark, odd, empty, monkeypatch, hubs, tight, cell):
+    for name, value in (("HUBS", hubs), ("TIGHT", tight), ("CELL", cell)):
+        monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(4)
     rows, base = near_copies(3), [f"v{i}" for i in range(500)]
     for i in range(60):  # near copies, most of which link with one another
@@ -367,6 +368,18 @@ def test_jaccard_counts_every_link(spark, odd, empty, monkeypatch, hubs):
     assert jaccard.count_links(empty).count() == 0
 
 
+def test_cell_counts_links_within_or_between_blocks():
+    bodies = [np.arange(k, k + 50, dtype=np.uint64) for k in (0, 1, 2, 30, 100, 101)]
+    copies = np.array([1, 10, 100, 1_000, 10_000, 100_000])
+    within = jaccard._cell_links(bodies, copies, None, 80)
+    assert list(within) == [110, 101, 11, 0, 100_000, 10_000]
+    side = np.array([True, True, False, False, True, False])
+    between = jaccard._cell_links(bodies, copies, side, 80)
+    assert list(between) == [100, 100, 11, 0, 100_000, 10_000]
+    alone = jaccard._cell_links(bodies, copies, np.ones(6, bool), 80)
+    assert list(alone) == [0] * 6
+
+
 def test_jaccard_on_odd_rows(odd, empty):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
 
