@@ -14,6 +14,8 @@ constant share of label 1 (0.5 without rows).
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -123,7 +125,7 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS) -> Network
     if len(texts) == 0 or labels.min() == labels.max():
         net.constant = float(labels.mean()) if len(texts) else 0.5
         return net
-    padded = [_padded(t) for t in texts]
+    padded = [_padded(t).astype(np.int16) for t in texts]
     params = net.parameters()
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     rng = np.random.default_rng(11)
@@ -148,13 +150,17 @@ def _gradients(net: Network, texts: list[np.ndarray], labels: np.ndarray) -> lis
     pooled, places, owners, codes, base = [], [], [], [], 0
     for i, text in enumerate(texts):
         size = len(text) - WIDTH + 1
-        response = net.tables[0][text[:size]]
-        for k in range(1, WIDTH):
-            response += net.tables[k][text[k : k + size]]
-        steps = response.reshape(-1, STEP, FILTERS)
-        top = steps.argmax(axis=1)
-        value = np.take_along_axis(steps, top[:, None, :], axis=1)[:, 0]
-        top = top + (np.arange(len(top)) * STEP)[:, None] + base
+        values, tops = [], []
+        for at in range(0, size, SLICE):
+            end = min(size, at + SLICE)
+            response = net.tables[0][text[at:end]]
+            for k in range(1, WIDTH):
+                response += net.tables[k][text[at + k : end + k]]
+            steps = response.reshape(-1, STEP, FILTERS)
+            best = steps.argmax(axis=1)
+            values.append(np.take_along_axis(steps, best[:, None, :], axis=1)[:, 0])
+            tops.append(best + (np.arange(len(best)) * STEP)[:, None] + base + at)
+        value, top = np.concatenate(values), np.concatenate(tops)
         if len(top) > 1:
             first = value[:-1] >= value[1:]
             value = np.where(first, value[:-1], value[1:])
@@ -179,7 +185,7 @@ def _gradients(net: Network, texts: list[np.ndarray], labels: np.ndarray) -> lis
     weight, where = d_value[rows, filters], place[rows, filters]
     d_tables = np.empty_like(net.tables)
     for k in range(WIDTH):
-        at = code[where + k] * FILTERS + filters
+        at = code[where + k].astype(np.int64) * FILTERS + filters
         d_tables[k] = np.bincount(at, weight, 257 * FILTERS).reshape(257, FILTERS)
     return [
         d_tables,
@@ -204,7 +210,9 @@ def fit(
     A document's label is the mean of its non-null labels, at 0.5 or more 1. Labelled rows
     and their bytes are counted first; a hash of id and text then picks rows, so that the
     whole texts of those picked have about ``rows`` rows and ``FIT_BYTES`` bytes at most.
-    Rows that repeat an id and its text count once when they are picked.
+    Rows that repeat an id and its text count once when they are picked. One task trains on
+    them, in an order of their own, so that a task that is run again gives the same network;
+    the driver only gets its parameters.
     """
     marks = (
         labels.filter(F.col(label).isNotNull())
@@ -228,13 +236,24 @@ def fit(
         .join(F.broadcast(picked), key)
         .dropDuplicates(key)
         .select("__place", "__bytes", "__label")
-        .collect()
-    )
-    chosen.sort()
-    return train(
-        [bytes(r["__bytes"]) for r in chosen], np.array([r["__label"] for r in chosen], float)
     )
 
+    def learn_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [[], [], []]
+        for batch in batches:
+            for held, column in zip(columns, batch.columns):
+                held += column.to_pylist()
+        net = _trained(sorted(zip(*columns)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net)])], names=["net"])
+
+    found = chosen.repartition(1).mapInArrow(learn_all, "net binary").first()
+    return _trained([]) if found is None else pickle.loads(found.net)
+
+
+def _trained(chosen: list[tuple[int, bytes, int]]) -> Network:
+    """The network of sorted rows (place, text, label)."""
+    return train([row[1] for row in chosen], np.array([row[2] for row in chosen], float))
+
 
 def score(docs: DataFrame, net: Network, text: str = "text", out: str = "score") -> DataFrame:
     """Add the probability of label 1 to ``docs``. The network's size is fixed: broadcast."""
