@@ -27,6 +27,8 @@ from lectern.scratch import stage
 #: Partitions of a catalog. One is rewritten by a task: take more for larger catalogs.
 BUCKETS = 64
 FACETS = ("category", "language")
+#: Bytes of text that one task sorts, at about twice as many bytes of memory.
+TASK_BYTES = 16 << 20
 COUNTS = T.StructType(
     [
         T.StructField("kind", T.StringType()),
@@ -41,6 +43,15 @@ def read_catalog(spark: SparkSession, path: str, schema: T.StructType = COURSE)
     return spark.read.schema(schema).parquet(path)
 
 
+def sorted_by(table: DataFrame, key: str) -> DataFrame:
+    """``table`` in ranges of ``key``, sorted within each; a range has about ``TASK_BYTES``."""
+    texts = [f.name for f in table.schema if isinstance(f.dataType, T.StringType)]
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in texts]
+    size = table.agg(F.sum(sum(sizes, F.lit(0)))).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))
+    return table.repartitionByRange(tasks, key).sortWithinPartitions(key)
+
+
 class CatalogStore:
     """Courses and their facet counts under ``root``, partitioned by URL."""
 

@@ -6,7 +6,8 @@ that every place of a title starts a gram. A search reads the grams of its word
 filters that reach the row groups of the scan; a word of one or two characters is the
 beginning of grams. Titles that hold all of them are looked up and searched for the word.
 
-A frequent gram's rows are spread over files; the ids of a word's grams are counted before
+Rows are sorted in tasks of about ``TASK_CHARS`` characters of titles each, however many
+there are. A frequent gram's rows are spread over files; the ids of a word's grams are counted before
 they are shuffled. Titles that are null or empty have no grams and are never found, as no
 word is in them. Repeated ids are one course for the index.
 """
@@ -22,6 +23,8 @@ from lectern.sources.catalog import read_catalog
 GRAM = 3
 END = "\x00"
 SCHEMA = "gram string, _id string"
+#: Characters of titles whose grams one task sorts, at about 50 bytes of memory each.
+TASK_CHARS = 2_000_000
 #: Found ids up to which they are given to the scan of the catalog as a filter.
 PUSHED_IDS = 1_000
 #: Found ids up to which they are broadcast to the catalog; more are joined by a shuffle.
@@ -46,7 +49,10 @@ def grams(text: Column) -> Column:
 
 def build_title_index(courses: DataFrame, path: str) -> None:
     rows = courses.select(F.explode(grams(F.col("title"))).alias("gram"), "_id")
-    placed = rows.repartitionByRange("gram", "_id").sortWithinPartitions("gram", "_id")
+    chars = courses.agg(F.sum(F.length("title"))).first()[0] or 0
+    # A given number is kept; one that Spark chooses makes larger tasks of larger tables.
+    tasks = max(1, -(-chars // TASK_CHARS))
+    placed = rows.repartitionByRange(tasks, "gram", "_id").sortWithinPartitions("gram", "_id")
     placed.write.parquet(path)
 
 

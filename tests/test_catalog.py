@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lectern.operators.facets import category_facet, language_facet
 from lectern.operators.merge import merge_upsert
 from lectern.schema import COURSE
-from lectern.sources import page_directory, title_index
+from lectern.sources import catalog, page_directory, title_index
 from lectern.sources.catalog import CatalogStore, read_catalog
 
 FIELDS = "_id string, title string, category string, language string, original_url string"
@@ -122,6 +122,22 @@ def test_index_filters_reach_the_scan(spark, titled, capsys):
         assert pushed in capsys.readouterr().out
 
 
+def test_tasks_sort_so_many_grams_and_bytes_however_large_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(title_index, "TASK_CHARS", 4_000, raising=False)
+    table = spark.range(2000).selectExpr("format_string('%04d', id) AS _id", "concat('title ', id) AS title")
+    title_index.build_title_index(table, str(tmp_path / "titles"))
+    index = spark.read.parquet(str(tmp_path / "titles"))
+    per_file = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == table.select(F.explode(title_index.grams(F.col("title")))).count()
+    assert max(per_file) <= 2 * 4_000 < sum(per_file)
+
+    monkeypatch.setattr(catalog, "TASK_BYTES", 4_000, raising=False)
+    placed = catalog.sorted_by(table.orderBy(F.desc("_id")), "_id")
+    parts = [[r._id for r in part] for part in placed.rdd.glom().collect()]
+    assert [i for part in parts for i in part] == [f"{i:04d}" for i in range(2000)]
+    assert max(map(len, parts)) <= 2 * 2000 / 7 and len(parts) == 7
+
+
 # Page directory
 
 
