@@ -112,14 +112,18 @@ def _meet_by(seed: str):
     return lambda acc, x: _meet(acc, x, seed)
 
 
-def _settle(rows: DataFrame, seed: str, most: int, later: DataFrame) -> DataFrame:
+def _settle(
+    rows: DataFrame, seed: str, most: int, later: DataFrame | None = None
+) -> DataFrame:
     """Rows (key, up) for ``rows`` (source, key, size, mass), settled in a tree.
 
     ``key`` is a rank below ``most``; ``mass``, from 0 to ``size``, is the words to take.
     ``later`` (of, planned, limit) says how many words of the source's later classes are to
     be taken, and how many can be. The last row of a source goes to the side that these can
-    make up for, by chance if that is both or none.
+    make up for, by chance if that is both or none, or if there are no later classes.
     """
+    if later is None:
+        later = rows.sparkSession.createDataFrame([], "of string, planned double, limit double")
     settled = []
     turn, width = 0, 1
     while width < most or turn == 0:
